@@ -21,4 +21,13 @@ SELECT conv_id, count(*) AS n_turns,
 FROM conflicts GROUP BY conv_id
 """
 
-ORACLES = {"op1_chat_format": OP1}
+OP6 = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain FROM documents
+), g AS (
+  SELECT plain, count(*) AS group_size, arg_min(doc_id, (-chars, doc_id)) AS keep_id FROM d GROUP BY plain
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256 FROM d JOIN g USING (plain)
+"""
+
+ORACLES = {"op1_chat_format": OP1, "op6_exact": OP6}

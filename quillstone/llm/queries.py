@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm import bpe_codec, chat_format, packing, token_files
+from quillstone.llm import bpe_codec, chat_format, exact, language, minhash, packing, quality, token_files
 from quillstone.llm.oracles import ORACLES
 from quillstone.llm.session import shared_dir
 
@@ -29,22 +29,40 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_conversations(conversations.unionByName(more)))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_read(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return bpe_codec.digest(_read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
     token_files.write(_read(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.json"), end_id=0)
     return token_files.read(spark, path)
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    return language.predict(documents, language.fit(documents, language.remainder(F.col("doc_id")) != 2))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    return quality.judge(documents, quality.fit(documents, _read(spark, sf_dir, "labels")))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op4_bpe_codec, op7_token_files, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_minhash, op4_bpe_codec, op6_exact, op7_token_files, op8_language, op9_quality, op10_packing)}
 
 __all__ = ["ORACLES", "QUERIES"]
