@@ -95,7 +95,7 @@ def _key():
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row; kept holds for a component's smallest doc_id.
+    """doc_id, n_shingles, component_id, kept, text_hash of every row; kept holds for a component's smallest doc_id.
 
     Documents link where 100 * |intersection| >= percent * |union| of their sets of distinct `size`-word shingles (fewer words:
     the whole sequence). documents: doc_id, text; other columns don't matter. Null, empty and wordless texts have no shingles
@@ -143,5 +143,13 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     grouped = classes.select("id", *key, "low").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     lowest = grouped.groupBy("label").agg(F.min("low").alias("component_id"))
     of_class = cut(grouped.join(lowest, "label").select(*key, "component_id"))
-    out = signed.select("doc_id", *key).join(of_class, key, "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    out = signed.select("doc_id", "text_hash", *key).join(of_class, key, "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
+
+
+def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of documents that near_duplicates() keeps, with all their columns."""
+    found = near_duplicates(documents, size, percent)
+    gone = found.where(~F.col("kept")).select(_key().alias("__key"), F.col("text_hash").alias("__hash")).distinct()
+    here = (F.coalesce(documents["doc_id"], F.lit(-(1 << 63))) == F.col("__key")) & (F.xxhash64(documents["text"]) == F.col("__hash"))
+    return documents.join(gone, here, "left_anti")

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm import bpe_codec, chat_format, exact, language, minhash, packing, quality, token_files
+from quillstone.llm import bpe_codec, chat_format, exact, language, line_dedup, minhash, packing, passages, quality, token_files
 from quillstone.llm.oracles import ORACLES
 from quillstone.llm.session import shared_dir
 
@@ -33,12 +33,22 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = passages.dedup_passages(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("__n_sentences").alias("n_sentences"), F.col("__n_removed").alias("n_removed"), F.col("__removed_words").alias("removed_words"), "text")
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return bpe_codec.digest(_read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), "text")
+
+
 def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -63,6 +73,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_minhash, op4_bpe_codec, op6_exact, op7_token_files, op8_language, op9_quality, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_minhash, op3_passages, op4_bpe_codec, op5_line_dedup, op6_exact, op7_token_files, op8_language, op9_quality, op10_packing)}
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -21,9 +22,16 @@ def shared_dir(spark: SparkSession) -> str:
     return place or context.getCheckpointDir()
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of finished steps now; it works on what the driver has collected as garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut: computed once, kept in the shared folder, so that lost executors cost no recomputation."""
     shared_dir(df.sparkSession)
+    release(df.sparkSession)
     return df.checkpoint()
 
 
@@ -31,6 +39,7 @@ def table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """df written as Parquet in the shared folder and read again, with the path. For wide rows, of which later steps read few columns."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/quillstone-{name}-{uuid.uuid4().hex}"
+    release(spark)
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_delete_quietly, spark, path)
     return spark.read.schema(df.schema).parquet(path), path
