@@ -6,13 +6,16 @@ what follows doesn't depend on what is before. So a text's ids are the ids of it
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterable
 
 import numpy as np
 
 #: Units in each of the cache's two generations, and the longest unit kept.
-CACHE_UNITS, CACHE_CHARS = 250_000, 48
+CACHE_UNITS, CACHE_CHARS = 500_000, 48
+#: A mark after a letter is a piece of its own.
+_MARKS, _LETTERS = ".,", frozenset(c for c in map(chr, range(0x250)) if c.isalpha())
 _open: dict[str, Encoder] = {}
 
 
@@ -26,6 +29,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.marks = dict(zip(_MARKS, self._library(list(_MARKS)), strict=True))
         self.young: dict[str, bytes | None] = {}
         self.old: dict[str, bytes | None] = {}
 
@@ -37,12 +41,19 @@ class Encoder:
 
     def _library(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        for i in range(0, len(texts), 1000):
-            out += [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch_fast(texts[i : i + 1000], add_special_tokens=False)]
+        for i in range(0, len(texts), 4000):
+            out += [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch_fast(texts[i : i + 4000], add_special_tokens=False)]
         return out
 
     def __call__(self, texts: Iterable[str | None]) -> list[np.ndarray]:
-        """The ids of each text; null: none."""
+        """The ids of each text; null: none. Nothing made here holds cycles, so the collector would only cost time."""
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         split = [("" if t is None else t).split(" ") for t in texts]
         wanted: set[str] = set()
         for units in split:
@@ -51,16 +62,28 @@ class Encoder:
         if len(self.young) + len(wanted) > CACHE_UNITS:
             self.old, self.young = self.young, {}
             wanted = set().union(*(units[1:] for units in split))
-        new, known = [], {}
+        known: dict[str, bytes | None] = {}
+        new: set[str] = set()
+        marked: list[str] = []
         for unit in wanted:
             if unit in self.old:
-                self.young[unit] = self.old[unit]
+                known[unit] = self.old[unit]
+            elif not unit or unit[-1].isspace():
+                known[unit] = None  # a cut after white space, or before a further space, isn't safe: the whole text goes to the library
+            elif unit[-1] in self.marks and len(unit) > 1 and unit[-2] in _LETTERS:
+                marked.append(unit)
+                if (word := unit[:-1]) not in self.young:
+                    if word in self.old:
+                        known[word] = self.old[word]
+                    else:
+                        new.add(word)
             else:
-                new.append(unit)
-        # A cut after white space, or before a further space, isn't safe: None sends the whole text to the library.
-        whole = [u for u in new if u and not u[-1].isspace()]
+                new.add(unit)
+        whole = list(new)
         known.update(zip(whole, self._library([" " + u for u in whole]), strict=True))
-        known.update((u, None) for u in new if not u or u[-1].isspace())
+        for unit in marked:
+            word = unit[:-1]
+            known[unit] = (known[word] if word in known else self.young[word]) + self.marks[unit[-1]]
         self.young.update((u, v) for u, v in known.items() if len(u) <= CACHE_CHARS)
         firsts = self._library([units[0] for units in split])
         out = []

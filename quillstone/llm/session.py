@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows and bytes of one Arrow batch handed to Python; long texts make a batch small by its bytes.
-BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
