@@ -50,6 +50,7 @@ def delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    release(spark)
 
 
 def _delete_quietly(spark: SparkSession, path: str) -> None:
