@@ -67,7 +67,7 @@ def band_rank(band: Column) -> Column:
 
 
 def band_of_rank(rank: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, BANDS)), rank)
+    return F.get(F.array(*map(F.lit, BANDS)), rank - 1)  # element_at gives the last for a null rank
 
 
 def _lookup(table: dict[str, str]) -> Column:
