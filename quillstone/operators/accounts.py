@@ -132,22 +132,21 @@ def maturity_buckets(rows: DataFrame, total: Column, within: Column, after: Colu
     return counted.withColumn("share", F.col("n").cast("double") / F.sum("n").over(Window.partitionBy()))
 
 
-def known_at(wide: DataFrame, month: Column, period: Column | None = None) -> DataFrame:
-    """Rows known at a month, of plausible periods: from FIRST_PERIOD to the end of the year after the month's."""
-    period = dates.iso_date(F.col("period_end").cast("string")) if period is None else period
+def _known(month: Column, period: Column, first_period: str) -> Column:
+    """Whether a row is known at a month and of a plausible period: from first_period to the end of the year after the month's."""
     last = F.make_date(F.floor(month / 100).cast("int") + 1, F.lit(12), F.lit(31))
-    return wide.where((F.col("row_available_yyyymm") <= month) & (period >= F.lit(FIRST_PERIOD).cast("date")) & (period <= last))
+    return (F.col("row_available_yyyymm") <= month) & (period >= F.lit(first_period).cast("date")) & (period <= last)
 
 
 MEASURES = {"Equity": "equity", "CurrentAssets": "current_assets", "creditors_within_one_year": "creditors_within_one_year", "NetCurrentAssetsLiabilities": "net_current_assets", "CashBankOnHand": "cash", EMPLOYEES: "employees"}
 
 
-def _latest_and_prior(ranked: DataFrame, key: list[str], keep: list[str]) -> DataFrame:
+def _latest_and_prior(ranked: DataFrame, key: list[str]) -> DataFrame:
     """Rows ranked 1 and 2 side by side, by one aggregation; n_periods counts all of the key's rows."""
     at = lambda n, c: F.max(F.when(F.col("rn") == n, F.col(c)))
     names = [*MEASURES.values(), "employees_unit_anomaly"]
     return ranked.groupBy(*key).agg(
-        at(1, "pe").alias("pe"), at(2, "pe").alias("prior_pe"), F.count(F.lit(1)).alias("n_periods_available"), *(at(1, c).alias(c) for c in names), *(at(2, c).alias(f"p_{c}") for c in ("equity", "net_current_assets", "cash")), *(F.max(c).alias(c) for c in keep)
+        at(1, "pe").alias("pe"), at(2, "pe").alias("prior_pe"), F.count(F.lit(1)).alias("n_periods_available"), *(at(1, c).alias(c) for c in names), *(at(2, c).alias(f"p_{c}") for c in ("equity", "net_current_assets", "cash"))
     )
 
 
@@ -182,22 +181,22 @@ def _measured(wide: DataFrame) -> list[Column]:
     return [F.col(f"`{k}`").alias(v) for k, v in MEASURES.items()] + [F.col("employees_unit_anomaly")]
 
 
-def features(wide: DataFrame, register: DataFrame, month: int) -> DataFrame:
+def features(wide: DataFrame, register: DataFrame, month: int, first_period: str = FIRST_PERIOD) -> DataFrame:
     """Per company the latest and prior period known at a month, with ratios, bands and changes; the category from the register."""
     t = F.lit(month)
-    known = known_at(wide, t).select(join_key(F.col("company")).alias("company"), F.col("period_end").cast("date").alias("pe"), *_measured(wide))
+    known = wide.where(_known(t, dates.iso_date(F.col("period_end").cast("string")), first_period)).select(join_key(F.col("company")).alias("company"), F.col("period_end").cast("date").alias("pe"), *_measured(wide))
     ranked = known.withColumn("rn", F.row_number().over(Window.partitionBy("company").orderBy(F.col("pe").desc())))
-    pair = _latest_and_prior(ranked, ["company"], [])
+    pair = _latest_and_prior(ranked, ["company"])
     listed = register.select(join_key(F.col("CompanyNumber")).alias("company"), F.col("`Accounts.AccountCategory`").alias("category")).where("company <> ''")
     return _project(pair.join(listed, "company", "left"), t, F.col("category"), [F.col("company").alias("company_number")])
 
 
-def assign(observations: DataFrame, wide: DataFrame, company: str, date: str, policy: str = "previous_month", registers: list[tuple[str, DataFrame]] = ()) -> DataFrame:
+def assign(observations: DataFrame, wide: DataFrame, company: str, date: str, policy: str = "previous_month", registers: list[tuple[str, DataFrame]] = (), first_period: str = FIRST_PERIOD) -> DataFrame:
     """observations with the accounts features known at each row's own reference month, never later.
 
     policy: previous_month (what the month before the row's date closed with) or same_month. registers: dated snapshots of
     (company_number, accounts_category); the last on or before the row's date counts, and none further back. Existing columns
-    of the same names are an error. Rows are told apart by their own values and position-free id, made before the join.
+    of the same names are an error. Features are made once per company and month and joined back, so rows need no id.
     """
     if policy not in ("previous_month", "same_month"):
         raise ValueError(policy)
@@ -206,20 +205,20 @@ def assign(observations: DataFrame, wide: DataFrame, company: str, date: str, po
         raise ValueError(f"columns exist: {sorted(clash)}")
     day = F.col(date).cast("date")
     month = dates.yyyymm(day)
-    rows = observations.withColumn("__row", F.struct(F.monotonically_increasing_id().alias("i")).getField("i")).withColumn("__company", join_key(F.col(company))).withColumn("reference_month", month if policy == "same_month" else dates.previous_month(month))
+    rows = observations.withColumn("__company", join_key(F.col(company))).withColumn("reference_month", month if policy == "same_month" else dates.previous_month(month))
     facts = wide.select(join_key(F.col("company")).alias("__company"), dates.iso_date(F.col("period_end").cast("string")).alias("pe"), "row_available_yyyymm", *_measured(wide))
-    last = F.make_date(F.floor(F.col("reference_month") / 100).cast("int") + 1, F.lit(12), F.lit(31))
-    met = rows.select("__row", "__company", "reference_month").join(facts, "__company").where((F.col("row_available_yyyymm") <= F.col("reference_month")) & (F.col("pe") >= F.lit(FIRST_PERIOD).cast("date")) & (F.col("pe") <= last))
-    ranked = met.withColumn("rn", F.row_number().over(Window.partitionBy("__row").orderBy(F.col("pe").desc())))
-    pair = _latest_and_prior(ranked, ["__row"], ["reference_month"])
-    out = rows.join(_project(pair, F.col("reference_month"), F.lit(None).cast("string"), ["__row"]).drop("accounts_category"), "__row", "left").withColumn("has_accounts", F.col("latest_period_end").isNotNull())
+    key = ["__company", "reference_month"]
+    met = rows.select(*key).distinct().join(facts, "__company").where(_known(F.col("reference_month"), F.col("pe"), first_period))
+    ranked = met.withColumn("rn", F.row_number().over(Window.partitionBy(*key).orderBy(F.col("pe").desc())))
+    pair = _latest_and_prior(ranked, key)
+    out = rows.join(_project(pair, F.col("reference_month"), F.lit(None).cast("string"), key).drop("accounts_category"), key, "left").withColumn("has_accounts", F.col("latest_period_end").isNotNull())
     if not registers:
-        return out.withColumn("accounts_category", F.lit(None).cast("string")).drop("__row", "__company")
+        return out.withColumn("accounts_category", F.lit(None).cast("string")).drop("__company")
     from quillstone.operators.asof import snapshot_date
 
     dated = reduce(DataFrame.unionByName, [df.select(F.lit(d).cast("date").alias("__snapshot"), join_key(F.col("company_number")).alias("__company"), "accounts_category") for d, df in registers])
     out = out.withColumn("__snapshot", snapshot_date([d for d, _ in registers], day))
-    return out.join(dated, ["__snapshot", "__company"], "left").drop("__row", "__company", "__snapshot")
+    return out.join(dated, ["__snapshot", "__company"], "left").drop("__company", "__snapshot")
 
 
 def _empty(observations: DataFrame) -> DataFrame:

@@ -32,15 +32,15 @@ def kept_labels(labels: DataFrame, line: str = "line_no") -> DataFrame:
     return rows.select(F.col("number").alias("company_number"), text.case_type(F.col("case_type")).alias("case_type"), F.col("case_type").alias("raw_case_type"), text.sic_section(F.col("sic07_2_digit")).alias("sic_section"), "month_registered")
 
 
-def lead_time(cases: DataFrame, facts: DataFrame, key: str, event: str, at: str, leads: DataFrame, cutoff: Column) -> DataFrame:
+def lead_time(cases: DataFrame, facts: DataFrame, key: str, event: str, at: str, leads: list[int], cutoff: Column) -> DataFrame:
     """The last fact of each case known at its cut-off, for every lead: key, lead, at, and the facts' columns.
 
-    leads is a small table with a column lead; cutoff makes a case's cut-off from its event and lead. A case without such a fact
+    cutoff makes a case's cut-off from its columns event and lead. A case without such a fact
     is in the result with nulls.
     """
     from functools import reduce
 
-    rows = cases.select(key, event).crossJoin(F.broadcast(leads)).withColumn("cutoff", cutoff)  # a few leads
+    rows = cases.select(key, event, F.explode(F.array(*map(F.lit, leads))).alias("lead")).withColumn("cutoff", cutoff)
     met = rows.join(facts, key).where(F.col(at) <= F.col("cutoff"))
     extra = [c for c in facts.columns if c != key]
     last = met.groupBy(key, event, "lead", "cutoff").agg(F.max_by(F.struct(*extra), F.struct(at, *[c for c in extra if c != at])).alias("f"))

@@ -75,7 +75,10 @@ def wilson(rows: DataFrame, by: list[str], agree: Column, z: float = 1.96) -> Da
 
 def collapse_duplicates(facts: DataFrame, key: list[str], agreement: str, order: Column) -> DataFrame:
     """Facts of one key: where all agree, the first with the number collapsed and status selected; else all, as conflict."""
-    n = facts.groupBy(*key).agg(F.count_distinct(F.coalesce(F.col(agreement).cast("string"), F.lit("\0"))).alias("__v"), F.count(F.lit(1)).alias("n_same"), F.min(order).alias("__first"))
-    marked = facts.withColumn("__o", order).join(n, key)
+    value = F.coalesce(F.col(agreement).cast("string"), F.lit("\0"))
+    n = facts.groupBy(*key).agg(F.count_distinct(value).alias("__v"), F.count(F.lit(1)).alias("n_same"), F.min(order).alias("__first"))
+    n = n.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(key)})
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(key)]  # totals have a null dimension
     one = F.col("__v") == 1
-    return marked.where(~one | (F.col("__o") == F.col("__first"))).withColumn("status", F.when(one, "selected").otherwise("conflict")).drop("__o", "__v", "__first")
+    marked = facts.withColumn("__o", order).join(n, same).where(~one | (F.col("__o") == F.col("__first")))
+    return marked.withColumn("status", F.when(one, "selected").otherwise("conflict")).drop("__o", "__v", "__first", *(f"__k{i}" for i in range(len(key))))

@@ -67,18 +67,8 @@ _WIDE_SQL = """one AS (
 )"""
 
 
-def _early(f):
-    """Runs with a plausible-period bound that fits the driver's dates."""
-
-    def run(spark, d):
-        kept, accounts.FIRST_PERIOD = accounts.FIRST_PERIOD, "1992-01-01"
-        try:
-            return f(spark, d)
-        finally:
-            accounts.FIRST_PERIOD = kept
-
-    return run
-
+#: The driver's dates begin before the production bound of plausible periods.
+_FIRST = "1992-01-01"
 
 _FEATURES_SQL = """l.pe AS latest_period_end, p.pe AS prior_period_end, l.n AS n_periods_available,
   ({ref_y} - year(l.pe)) * 12 + {ref_m} - month(l.pe) AS months_since_latest_period_end,
@@ -100,10 +90,9 @@ _FEATURES_SQL = """l.pe AS latest_period_end, p.pe AS prior_period_end, l.n AS n
 SELECT l.company AS company_number, {_FEATURES_SQL.format(ref_y=T // 100, ref_m=T % 100)}, c.c_mktsegment AS accounts_category
 FROM (SELECT * FROM ranked WHERE rn = 1) l LEFT JOIN (SELECT * FROM ranked WHERE rn = 2) p USING (company) LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = l.company""",
 )
-@_early
 def ac01(spark: SparkSession, d: str) -> DataFrame:
     reg = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("CompanyNumber"), F.col("c_mktsegment").alias("Accounts.AccountCategory"))
-    return accounts.features(_wide(spark, d), reg, T)
+    return accounts.features(_wide(spark, d), reg, T, _FIRST)
 
 
 @query(
@@ -119,11 +108,10 @@ def ac01(spark: SparkSession, d: str) -> DataFrame:
 SELECT o.event_id, o.company, o.ref AS reference_month, l.company IS NOT NULL AS has_accounts, {_FEATURES_SQL.format(ref_y="(o.ref // 100)", ref_m="(o.ref % 100)")}, CAST(NULL AS VARCHAR) AS accounts_category
 FROM obs2 o LEFT JOIN (SELECT * FROM ranked WHERE rn = 1) l USING (event_id) LEFT JOIN (SELECT * FROM ranked WHERE rn = 2) p USING (event_id)""",
 )
-@_early
 def jn04(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").where("event_type = 'error'")
     obs = e.select("event_id", F.col("user_id").cast("string").alias("company"), F.add_months(F.to_date("ts"), -300).alias("day"))
-    return accounts.assign(obs, _wide(spark, d), "company", "day").drop("day")
+    return accounts.assign(obs, _wide(spark, d), "company", "day", first_period=_FIRST).drop("day")
 
 
 def _facts(spark: SparkSession, d: str) -> DataFrame:
@@ -667,9 +655,8 @@ SELECT lead, count(*) AS n_cases, count(event_id) AS n_observed, quantile_cont(v
 def lt01(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     cases = e.where("event_type = 'error'").groupBy("user_id").agg(F.min("ts").alias("event"))
-    leads = spark.createDataFrame([(1,), (3,), (7,)], "lead int")
     facts = e.where("event_type <> 'error'").select("user_id", "ts", "event_id", "value")
-    joined = cohort.lead_time(cases, facts, "user_id", "event", "ts", leads, F.col("event") - F.make_dt_interval("lead"))
+    joined = cohort.lead_time(cases, facts, "user_id", "event", "ts", [1, 3, 7], F.col("event") - F.make_dt_interval("lead"))
     return cohort.lead_summary(joined, ["lead"], "event_id", ["value"])
 
 
@@ -687,9 +674,6 @@ def agg24(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.describe(table(spark, d, "orders"), "o_orderstatus", "o_totalprice")
 
 
-_CASE, _EXPOSED = F, None
-
-
 def _case() -> Column:
     return F.col("o_orderstatus") == "F"
 

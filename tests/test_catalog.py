@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from quillstone.plans import catalog
+from quillstone.plans import catalog, more
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -36,7 +36,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", list(catalog.QUERIES))
+@pytest.mark.parametrize("name", list(more.catalog_queries()))
 def test_query(spark, duck, name):
     got = catalog.QUERIES[name](spark, SF).toPandas()
     if name in catalog.ORACLES:
