@@ -61,7 +61,7 @@ def write(documents: DataFrame, path: str, vocabulary: str, end_id: int = 0) ->
 def read(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in the files below `path`, in no order."""
     files = spark.read.schema(_FILE).parquet(path)
-    # One row per shard, as many as there were range partitions.
+    # One row per shard, as many as there were range partitions: so few that they are sent to the files, not the files to them.
     totals = files.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
     before = totals.select("shard", (F.sum("ids").over(Window.orderBy("shard")) - F.col("ids")).alias("before"))
 
@@ -75,4 +75,4 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(segment.doc_ids, pa.int64()), pa.array(starts + row["first"] + row["before"], pa.int64()), pa.array(segment.counts, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return arrow_map(files.join(before, "shard").select("first", "before", "data"), run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return arrow_map(files.join(F.broadcast(before), "shard").select("first", "before", "data"), run, "doc_id long, start long, n_tokens long, ids_crc32 long")
