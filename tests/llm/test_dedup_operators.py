@@ -140,6 +140,19 @@ def distance(a, b):
     return row[-1]
 
 
+def test_edits_are_the_levenshtein_distance():
+    rng = random.Random(9)
+    for _ in range(400):
+        a = "".join(rng.choice("abé") for _ in range(rng.randint(0, 90)))
+        b = list(a) if rng.random() < 0.7 else [rng.choice("abc") for _ in range(rng.randint(0, 90))]
+        for _ in range(rng.randint(0, 6)):
+            b.insert(rng.randint(0, len(b)), "z") if rng.random() < 0.5 or not b else b.pop(rng.randrange(len(b)))
+        b = "".join(b)
+        want = distance(a, b)
+        assert line_dedup.edits(a, b, 200) == want
+        assert (line_dedup.edits(a, b, 5) is not None) == (want <= 5)
+
+
 def brute_lines(rows):
     """rows of (doc, text) in order of doc: the kept text and the number of lines removed."""
     found = [(d, k, line_dedup.normalise(x)) for d, t in rows for k, x in enumerate((t or "").split("\n"))]
