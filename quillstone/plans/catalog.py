@@ -525,7 +525,15 @@ def nrm11(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", dates.previous_month(m).alias("previous"), dates.add_months(m, -24).alias("cutoff"))
 
 
-@query("nrm12_natures")
+def _natures_sql() -> str:
+    pick = lambda values, i: f"[{', '.join(repr(v) for v in values)}][CAST(p_partkey % {i} AS INTEGER) + 1]"
+    cores = (*natures.CORES, natures.ALONE, "new-right")
+    return f"""WITH p AS (SELECT p_partkey, {pick(cores, 8)} AS c, CASE WHEN p_partkey % 8 < 6 THEN {pick((*natures.BANDS, "more-than-25-percent"), 4)} END AS band, {pick(("", *natures.SUFFIXES), 11)} AS e FROM part)
+SELECT p_partkey, c || coalesce('-' || band, '') || e AS code, CASE WHEN e = '' THEN 'plain' ELSE e[2:] END AS suffix_family, band, nullif(c, 'new-right') AS core,
+  CASE band WHEN '25-to-50-percent' THEN 1 WHEN '50-to-75-percent' THEN 2 WHEN '75-to-100-percent' THEN 3 END AS rank FROM p"""
+
+
+@query("nrm12_natures", _natures_sql())
 def nrm12(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("p_partkey")
     cores, ends = F.array(*map(F.lit, (*natures.CORES, natures.ALONE, "new-right"))), F.array(F.lit(""), *map(F.lit, natures.SUFFIXES))

@@ -217,7 +217,7 @@ def labels_by_language(spark: SparkSession, d: str) -> DataFrame:
     return inventory.wilson(j, ["lang"], F.col("quality") == 1).select("lang", "n", "n_agree")
 
 
-@query("jn12_audit_by_segment")
+@query("jn12_audit_by_segment", "WITH o AS (SELECT o_orderkey % 3 <> 0 AS b, year(o_orderdate) AS y FROM orders) SELECT y, 'p' AS \"column\", count(*) FILTER (b) AS n_both, count(*) FILTER (NOT b) AS n_baseline_only, 0 AS n_candidate_only, 0 AS n_same, count(*) FILTER (b) AS n_changed, 0 AS n_filled, 0 AS n_emptied FROM o GROUP BY 1")
 def audit_by_year(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.year("o_orderdate").alias("y"), F.col("o_totalprice").alias("p"))
     return population.full_outer_audit(o, o.where("k % 3 <> 0").withColumn("p", F.col("p") + 1), ["k", "y"], ["p"], ["y"])
