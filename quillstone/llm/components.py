@@ -1,7 +1,8 @@
 """Connected components of links too many for one machine.
 
-Tasks first shrink their own links to spanning stars by union-find. Then large-star and small-star steps alternate, each a
-minimum per node and a join, until every node hangs on the smallest node of its component. Nothing is collected.
+Tasks first shrink their own links to spanning stars by union-find. If no more than HELD links are left, one task joins
+them; else large-star and small-star steps alternate, each a minimum per node and a join, until every node hangs on the
+smallest node of its component. Both ways give the same result, and nothing is collected.
 """
 
 from __future__ import annotations
@@ -12,11 +13,11 @@ from pyspark.sql import functions as F
 
 from quillstone.llm.session import arrow_map, cut
 
-#: Links that a task holds in its union-find before it hands the stars on.
+#: Links that a task holds in its union-find; with more, it hands the stars on, and no single task joins them.
 HELD = 1 << 19
 
 
-def _stars(batches):
+def _stars(batches, most: int | None = None):
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -35,7 +36,7 @@ def _stars(batches):
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             a, b = find(a), find(b)
             parent[max(a, b)] = min(a, b)
-        if len(parent) > HELD:
+        if most and len(parent) > most:
             yield emit()
             parent.clear()
     yield emit()
@@ -49,8 +50,12 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = links.columns
     pairs = links.where(F.col(a) != F.col(b)).select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
-    stars = cut(arrow_map(pairs, _stars, "node long, low long").distinct())
-    while True:
+    held = HELD
+    stars = cut(arrow_map(pairs, lambda batches: _stars(batches, held), "node long, low long").distinct())
+    small_enough = stars.count() <= held
+    if small_enough:
+        stars = cut(arrow_map(stars.repartition(1), _stars, "node long, low long"))
+    while not small_enough:
         ends = stars.groupBy("node").agg(F.min("low").alias("least"), F.max("low").alias("most"))
         loose = ends.where("least <> most").select("node").limit(1).union(stars.join(ends.select(F.col("node").alias("low")), "low", "left_semi").select("node").limit(1))
         if not loose.take(1):

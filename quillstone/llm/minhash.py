@@ -154,10 +154,12 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     # What is left: candidates of a bucket in different components.
     placed = members.where("id <> pivot").join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     mixed = placed.groupBy(*bucket).agg(F.min("label").alias("u"), F.max("label").alias("v")).where("u <> v").select(*bucket)
-    open_ = placed.join(mixed, bucket).join(looks, "id")
-    x, y = (open_.select(*bucket, *(F.col(c).alias(f"{p}{c}") for c in ("id", "label", "n", *_SKETCH))) for p in ("x_", "y_"))
-    pairs = x.alias("x").join(y.alias("y"), [*(F.col(f"x.{c}") == F.col(f"y.{c}") for c in bucket), F.col("x_id") < F.col("y_id"), F.col("x_label") != F.col("y_label"), near])
-    more = _verified(pairs.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct(), texts, size).where(linked).select("a", "b")
+    open_ = placed.join(mixed, bucket).join(classes.select("id", "n", "bands", *_SKETCH), "id")
+    x, y = (open_.select(*bucket, *(F.col(c).alias(f"{p}{c}") for c in ("id", "label", "n", "bands", *_SKETCH))) for p in ("x_", "y_"))
+    # A pair leaves only the first bucket that it shares.
+    shared = F.coalesce(*(F.when(F.col("x_bands")[i] == F.col("y_bands")[i], i) for i in range(BANDS)))
+    pairs = x.alias("x").join(y.alias("y"), [*(F.col(f"x.{c}") == F.col(f"y.{c}") for c in bucket), F.col("x_id") < F.col("y_id"), F.col("x_label") != F.col("y_label"), near, shared == F.col("x.band")])
+    more = _verified(pairs.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")), texts, size).where(linked).select("a", "b")
     labels = components(first.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
 
     grouped = classes.select("id", *key, "low").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))

@@ -84,7 +84,9 @@ def test_superminhash_estimates_similarity():
     assert len(np.unique(single >> np.uint64(56))) == minhash.PLACES  # one element fills every place, each with another j
 
 
-def test_components_of_chains_and_hubs(spark):
+@pytest.mark.parametrize("held", [components.HELD, 10])
+def test_components_of_chains_and_hubs(spark, monkeypatch, held):
+    monkeypatch.setattr(components, "HELD", held)
     chain = [(i, i + 1) for i in range(200, 260)]
     hub = [(1, i) for i in range(2, 100)]
     df = spark.createDataFrame([*chain, *hub, (5, 5), (99, 1)], "a long, b long")
