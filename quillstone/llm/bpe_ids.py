@@ -11,9 +11,10 @@ import os
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 
 #: Units in each of the cache's two generations, and the longest unit kept.
-CACHE_UNITS, CACHE_CHARS = 500_000, 48
+CACHE_UNITS, CACHE_CHARS = 350_000, 48
 #: A mark after a letter is a piece of its own.
 _MARKS, _LETTERS = ".,", frozenset(c for c in map(chr, range(0x250)) if c.isalpha())
 _open: dict[str, Encoder] = {}
@@ -52,6 +53,7 @@ class Encoder:
             return self._encode(texts)
         finally:
             gc.enable()
+            pa.default_memory_pool().release_unused()  # workers are used again by other operators
 
     def _encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         split = [("" if t is None else t).split(" ") for t in texts]
