@@ -45,7 +45,7 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"), runs=True)
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), "text")
 
 

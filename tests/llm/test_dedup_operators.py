@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from quillstone.llm import components, exact, line_dedup, minhash, passages
+from quillstone.llm import components, exact, line_dedup, minhash, passages, queries
 
 DOCS = "/root/testdata/sf0.001/documents.parquet"
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -193,6 +193,28 @@ def test_lines_match_brute_force(spark, no_documents):
     assert line_dedup.dedup_lines(no_documents).count() == 0
 
 
+def test_similar_lines_go_whatever_their_simhashes(spark, tmp_path):
+    """The query's links against brute force by edit similarity alone."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    rows = []
+    for i in range(40):
+        line = [rng.choice(vocabulary) for _ in range(5 + 2 * i)]
+        rows.append((len(rows), " ".join(line)))
+        for _ in range(3):
+            w, at = list(line), rng.randrange(len(line))
+            w[at : at + 1] = rng.choice([[rng.choice(vocabulary)], [w[at], rng.choice(vocabulary)], []])
+            rows.append((len(rows), " ".join(w)))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    left = {r.doc_id for r in queries.op5_line_dedup(spark, str(tmp_path)).collect() if r.n_removed == 0}
+    text = dict(rows)
+    close = lambda a, b: line_dedup.edits(text[a], text[b], int((1 - line_dedup.SIMILARITY) * max(len(text[a]), len(text[b])) + 1e-9)) is not None
+    label = groups(list(text), close)
+    assert left == set(label.values())
+    far = [(a, b) for a, b in combinations(text, 2) if (line_dedup.simhash(text[a]) ^ line_dedup.simhash(text[b])).bit_count() > line_dedup.DISTANCE and close(a, b)]
+    assert len(far) > 50
+
+
 @pytest.mark.parametrize("blocks", [5, 6, 7])
 def test_close_simhashes_share_a_key(spark, blocks):
     rng = random.Random(blocks)
