@@ -1,9 +1,13 @@
 """Substring dedup by sliding sentence spans.
 
-A sentence ends with a word that ends in . ! or ? (closing quotes and brackets may follow), or before a line break; one of
-more than LONG words is cut further after words chosen by their hash, so that cuts fall alike in every copy. A span is the
-shortest run of consecutive sentences from one on that has SENTENCES sentences and WORDS words. Each span's hash meets its
-equals over all documents; sentences covered by any span that isn't the first of its kind are removed.
+A sentence ends with a word that ends in . ! or ? (closing quotes and brackets may follow), or before a line break, and is cut
+further after the word of least hash of each WINDOW words in it. So sentences have at most WINDOW words, and whether one ends
+with a word is told by fewer than WINDOW words on either side. A span is the shortest run of consecutive sentences from one on
+that has SENTENCES sentences and WORDS words. Each span's hash meets its equals over all documents; sentences covered by any
+span that isn't the first of its kind are removed.
+
+Any 51 words that two texts share hold a span, wherever they begin and end: cuts fall alike after the words 7 to 43 of them
+(from 0), one of the words 7 to 14 is cut after, and the span from there on ends with one of the next 20 to 27 words.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 from quillstone.llm.session import arrow_map, cut, delete, table
 from quillstone.llm.words import Words, mix, raw
 
-SENTENCES, WORDS, LONG = 3, 20, 16
+SENTENCES, WORDS, WINDOW = 3, 20, 8
 _SPAN_BITS = 20
 _STOP, _CLOSE = np.zeros(256, bool), np.zeros(256, bool)
 _STOP[list(b".!?")] = True
@@ -40,10 +44,11 @@ class Sentences:
             ends[:-1] |= breaks[w.starts[1:]] > breaks[w.ends[:-1]]
             ends[-1] = True
             ends[w.first[1:][w.first[1:] > 0] - 1] = True
-            # Long sentences: cut after an eighth of their words.
-            close = np.flatnonzero(ends)
-            size = np.diff(close, prepend=-1)
-            ends |= np.repeat(size > LONG, size) & ((self.hashes & np.uint64(7)) == 0)
+            if n >= WINDOW:
+                closed = np.concatenate([[0], np.cumsum(ends)])
+                within = np.flatnonzero(closed[WINDOW - 1 : n] == closed[: n - WINDOW + 1])
+                least = np.lib.stride_tricks.sliding_window_view(self.hashes, WINDOW).argmin(axis=1)
+                ends[within + least[within]] = True
         self.first = np.concatenate([[0], np.flatnonzero(ends) + 1])
         self.of = np.searchsorted(self.first, w.first)
 

@@ -283,3 +283,24 @@ def test_passages_match_brute_force(spark, odd_documents, no_documents):
     assert passages.dedup_passages(odd_documents).count() == odd_documents.count()
     assert line_dedup.dedup_lines(odd_documents).count() == odd_documents.count()
     assert minhash.near_duplicates(odd_documents).count() == odd_documents.count()
+
+
+@pytest.mark.parametrize("sizes", [(60, 60), (14, 16), (12, 16), (3, 9)])
+def test_any_51_shared_words_hold_a_span(spark, sizes):
+    """Passages that begin and end anywhere, with sentences of so many words; 60: no punctuation within."""
+    rng = random.Random(sum(sizes))
+
+    def prose(n):
+        out = []
+        while len(out) < n:
+            out += [f"w{rng.randrange(5000)}" for _ in range(rng.randint(*sizes))]
+            out[-1] += "."
+        at = rng.randrange(len(out) - n + 1)
+        return out[at : at + n]
+
+    rows = []
+    for i in range(100):
+        shared = prose(51)
+        rows += [(2 * i, " ".join(prose(40) + shared + prose(40))), (2 * i + 1, " ".join(prose(33) + shared + prose(47)))]
+    left = {r.doc_id: r["__removed_words"] for r in passages.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(left[2 * i] == 0 and 20 <= left[2 * i + 1] <= 51 for i in range(100))
