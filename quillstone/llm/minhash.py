@@ -119,7 +119,10 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     others it isn't the smallest. Very long texts are hashed whole. No rows give no rows.
 
     Candidates share one of BANDS bands of ROWS places and agree in AGREE: at similarity 0.8 a pair is missed with probability 3e-6.
+    Both are chosen for that, so a percent below 80 raises ValueError.
     """
+    if percent < 80:
+        raise ValueError(f"percent is {percent}, but bands and AGREE find links of 80 or more")
     spark, paths = documents.sparkSession, []
 
     def kept(df: DataFrame, name: str) -> DataFrame:

@@ -73,6 +73,12 @@ def test_minhash_on_the_documents(spark):
     assert got == want
 
 
+def test_minhash_refuses_what_its_bands_would_miss(no_documents):
+    for find in (minhash.near_duplicates, minhash.keep_one):
+        with pytest.raises(ValueError, match="percent"):
+            find(no_documents, percent=79)
+
+
 def test_superminhash_estimates_similarity():
     import numpy as np
 
