@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.bpe_ids import Encoder
+from quillstone.llm.bpe_ids import Encoder, with_end
 from quillstone.llm.session import arrow_map, cut
 
 
@@ -67,18 +67,19 @@ def pieces(documents: DataFrame, vocabulary: str, end_id: int = 2, capacity: int
     """
 
     def run(batches):
-        part, encoder, end = TaskContext.get().partitionId(), Encoder.of(vocabulary), np.array([end_id], "<u4")
+        part, encoder = TaskContext.get().partitionId(), Encoder.of(vocabulary)
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for doc, got in zip(batch.column("doc_id").to_pylist(), encoder(batch.column("text").to_pylist()), strict=True):
-                ids = np.concatenate([got.astype("<u4"), end])
-                first = len(ids) % capacity or capacity
-                cuts = [0, *range(first, len(ids) + 1, capacity)]
-                for k in range(len(cuts) - 1):
-                    for column, x in zip(out, (doc, k, cuts[k], cuts[k + 1] - cuts[k], zlib.crc32(ids[cuts[k] : cuts[k + 1]].tobytes())), strict=True):
-                        column.append(x)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(out, kinds, strict=True)), pa.array([part] * len(out[0]), pa.int32())], ["doc_id", "piece", "start", "length", "ids_crc32", "part"])
+            ids, offsets = with_end(*encoder(batch.column("text")), end_id)
+            size = np.diff(offsets)
+            n = -(-size // capacity)
+            doc = np.repeat(np.arange(len(size)), n)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+            end = size[doc] - (n[doc] - 1 - piece) * capacity
+            start = np.where(piece, end - capacity, 0)
+            data, first = memoryview(ids.view(np.uint8)), offsets[doc]
+            crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip((first + start).tolist(), (first + end).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(end - start), pa.array(crc, pa.int64()), pa.array(np.full(len(doc), part, np.int32))], ["doc_id", "piece", "start", "length", "ids_crc32", "part"])
+        encoder.forget()
 
     return arrow_map(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, piece int, start long, length long, ids_crc32 long, part int")
 

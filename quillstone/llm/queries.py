@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm import bpe_codec, chat_format, exact, language, line_dedup, minhash, packing, passages, quality, token_files
 from quillstone.llm.oracles import ORACLES
-from quillstone.llm.session import shared_dir
+from quillstone.llm.session import own_path
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +52,7 @@ def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
+    path = own_path(spark, "token-files")  # the result is read from there, so the files stay as long as the driver
     token_files.write(_read(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.json"), end_id=0)
     return token_files.read(spark, path)
 

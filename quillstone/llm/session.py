@@ -3,23 +3,31 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
+import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows and bytes of one Arrow batch handed to Python; long texts make a batch small by its bytes.
 BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
+_owned: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset, a local session (tests) gets a temporary one, and any other raises ValueError."""
     context = spark.sparkContext
-    place = spark.conf.get("spark.checkpoint.dir", None)
+    place = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not place:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir is unset, and executors share no local folder")
+        place = tempfile.mkdtemp(prefix="quillstone-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(place or tempfile.mkdtemp(prefix="quillstone-"))
-    return place or context.getCheckpointDir()
+        context.setCheckpointDir(place)
+    return place
 
 
 def release(spark: SparkSession) -> None:
@@ -38,31 +46,62 @@ def cut(df: DataFrame) -> DataFrame:
 def table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """df written as Parquet in the shared folder and read again, with the path. For wide rows, of which later steps read few columns."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/quillstone-{name}-{uuid.uuid4().hex}"
+    path = own_path(spark, name)
     release(spark)
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_delete_quietly, spark, path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def own_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the driver exits if not before."""
+    if not _owned:
+        atexit.register(_delete_all)
+    path = f"{shared_dir(spark).rstrip('/')}/quillstone-{name}-{uuid.uuid4().hex}"
+    _owned[path] = spark
+    return path
+
+
 def delete(spark: SparkSession, path: str) -> None:
-    """Deletes a table made by table()."""
+    """Deletes a table made by table() or at own_path()."""
+    _owned.pop(path, None)
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
     release(spark)
 
 
-def _delete_quietly(spark: SparkSession, path: str) -> None:
-    try:
-        delete(spark, path)
-    except Exception:  # noqa: BLE001  the session may be gone at exit
-        pass
+def _delete_all() -> None:
+    for path, spark in list(_owned.items()):
+        try:
+            delete(spark, path)
+        except Exception:  # noqa: BLE001  the session may be gone at exit
+            pass
+
+
+def free_prefix(columns: list[str]) -> str:
+    """Underscores, two at least, with which no column's name begins: names of additional columns that clash with none."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
 
 
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
-    """df.mapInArrow with batches bounded in rows and bytes."""
+    """df.mapInArrow with batches bounded in rows and bytes. These limits are settings of the session and stay set."""
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        yield from fn(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Returns this worker's free memory to the system: it lives on after its partition, beside workers of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.llm import pfor
-from quillstone.llm.bpe_ids import Encoder
+from quillstone.llm.bpe_ids import Encoder, with_end
 from quillstone.llm.session import arrow_map
 
 #: A segment ends with the document that brings it to so many ids.
@@ -33,25 +33,33 @@ def write(documents: DataFrame, path: str, vocabulary: str, end_id: int = 0) ->
     def run(batches):
         shard = TaskContext.get().partitionId()
         encoder = Encoder.of(vocabulary)
-        end = np.array([end_id], np.uint32)
-        docs, ids, first, number = [], [], 0, 0
+        first, number = 0, 0
+        docs, counts, ids = [], [], []
 
         def segment():
-            counts = np.array([len(x) for x in ids], np.int64)
-            whole = np.concatenate(ids)
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([number], pa.int32()), pa.array([first], pa.int64()), pa.array([len(docs)], pa.int32()), pa.array([len(whole)], pa.int64()), pa.array([pfor.encode(whole, docs, counts)], pa.binary())], ["shard", "segment", "first", "n_docs", "n_ids", "data"])
+            whole, sizes = np.concatenate(ids), np.concatenate(counts)
+            cells = (shard, number, first, len(sizes), len(whole), pfor.encode(whole, docs, sizes))
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds, strict=True)], ["shard", "segment", "first", "n_docs", "n_ids", "data"])
 
         held = 0
         for batch in batches:
-            for doc, got in zip(batch.column("doc_id").to_pylist(), encoder(batch.column("text").to_pylist()), strict=True):
-                docs.append(doc)
-                ids.append(np.concatenate([got.astype(np.uint32), end]))
+            names = batch.column("doc_id").to_pylist()
+            found, offsets = with_end(*encoder(batch.column("text")), end_id)
+            i = 0
+            while i < len(names):
+                j = min(len(names), int(np.searchsorted(offsets, offsets[i] + SEGMENT_IDS - held)))
+                docs += names[i:j]
+                counts.append(np.diff(offsets[i : j + 1]))
+                ids.append(found[offsets[i] : offsets[j]])
                 held += len(ids[-1])
+                i = j
                 if held >= SEGMENT_IDS:
                     yield segment()
-                    first, number, held, docs, ids = first + held, number + 1, 0, [], []
+                    first, number, held, docs, counts, ids = first + held, number + 1, 0, [], [], []
         if docs:
             yield segment()
+        encoder.forget()
 
     key = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ordered = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(*key).sortWithinPartitions(*key)

@@ -3,26 +3,57 @@ import hashlib
 import random
 import uuid
 import zlib
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
-from quillstone.llm import bpe_codec, packing, pfor, token_files
+from quillstone.llm import bpe_codec, bpe_ids, packing, pfor, token_files
 from quillstone.llm.bpe_ids import Encoder
 
 JSON = P.path("byte_bpe_50k.json")
 
 
+#: The library as its file sets it up, apart from the code under test.
+LIBRARY = Tokenizer.from_file(JSON)
+
+
 def library_ids(text):
-    return Encoder.of(JSON).library.encode(text or "", add_special_tokens=False).ids
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
+
+
+def encoded(encoder, texts):
+    ids, offsets = encoder(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in pairwise(offsets)]
 
 
-def test_unit_cache_gives_the_librarys_ids(odd_documents):
-    texts = [r.text for r in odd_documents.collect()]
+def test_strings_of_added_tokens_are_the_librarys():
+    assert library_ids("a b <|endoftext|> c") == [64, 275, 220, 50256, 269]
+    texts = ["a b <|endoftext|> c", "x<|endoftext|>", "<|endoftext|><|endoftext|>", "<|endof", "text|>", "it's <|endoftext|> 's."]
+    assert encoded(Encoder(JSON), texts) == [library_ids(t) for t in texts]
+
+
+@pytest.mark.parametrize("slice_bytes", [64, 4 << 20])
+def test_units_give_the_librarys_ids(odd_documents, monkeypatch, slice_bytes):
+    monkeypatch.setattr(bpe_ids, "SLICE", slice_bytes)
+    monkeypatch.setattr(bpe_ids, "CACHE_UNITS", 300)
+    rng = random.Random(slice_bytes)
+    parts = [*"abcdeXYZ   \n\t.,'!?-019é ßÄ÷×日本ſʼ", "\u00a0", "\u0085", "\u3000", "\u2028", "\u1680", "\u200b", "\x1c", "\x0b", "😀", "\u0301", "'s", "'ll", "<|endoftext|>", " the", "ing", "\r\n", "  "]
+    texts = [r.text for r in odd_documents.collect() if len(r.text or "") < 9000] + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
     encoder = Encoder(JSON)
     for _ in range(2):
-        assert [list(map(int, x)) for x in encoder(texts)] == [library_ids(t) for t in texts]
+        assert encoded(encoder, texts) == [library_ids(t) for t in texts]
+    encoder.forget()
+    assert encoded(encoder, []) == []
+
+
+def test_other_pre_tokenisers_get_whole_texts():
+    other = P.path("word_bpe_49k.json")
+    texts = ["A cat, it's  there.", "", None, "x <|endoftext|> y"]
+    assert encoded(Encoder(other), texts) == [Tokenizer.from_file(other).encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
 def test_codec_matches_tiktoken_and_round_trips(spark, odd_documents, no_documents):
