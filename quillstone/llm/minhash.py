@@ -4,21 +4,23 @@ SuperMinHash (Ertl, 2017) gives each element of a set a random permutation of th
 permutation is offered j plus a random fraction, and each place keeps the least offer. A set is done as soon as all its
 places hold less than the next j.
 
-Documents of equal sets are one class. Classes that share a band's hash, and whose signatures agree in AGREE places, are
-candidates. In each bucket all candidates are verified against its smallest class; the links give components, and candidates
-of a bucket that are still in different components are verified as well. So no link between candidates is lost, while a bucket
-of copies costs a verification each instead of one per pair.
+Documents of equal sets are one class. Classes that share a band's hash are candidates. A bucket's pivot is its most central
+class, the one whose buckets hold the most members; the others meet it if their signatures agree in AGREE places, and these
+stars' links give components. Of a pivot's members that are still in different components no pairs are made: each is written as
+its difference from the pivot's set, which tells exactly how many tokens of their differences two members must share to be
+linked, and so how long a prefix of them, rarest first, must hold one that both have (a prefix filter, Chaudhuri et al., 2006).
+So no link between candidates is lost, while copies of one text cost a verification each: their own changes are rare tokens.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstone.llm.components import components
-from quillstone.llm.session import arrow_map, cut, delete, table
+from quillstone.llm.session import arrow_map, cut, delete, free_prefix, table
 from quillstone.llm.words import LOWER, Words, mix, raw, shingles
 
 BANDS, ROWS = 24, 4
@@ -105,6 +107,53 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return arrow_map(both.select("a", "b", "ta", "tb"), run, "a long, b long, shared long, na long, nb long")
 
 
+def _differences(spokes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """spokes (id, pivot, label, main) with n, pivot_n and common, the sizes of the two sets and of their intersection, and tokens, what only one of them has; those linked to the pivot are main."""
+
+    def run(batches):
+        for batch in batches:
+            sets = shingle_sets(pa.concat_arrays([batch.column("t"), batch.column("pivot_t")]), size)
+            k = batch.num_rows
+            differ = [np.setxor1d(x, y, assume_unique=True) for x, y in zip(sets[:k], sets[k:], strict=True)]
+            n, pivot_n, d = (np.array([len(x) for x in xs], np.int64) for xs in (sets[:k], sets[k:], differ))
+            common = (n + pivot_n - d) // 2
+            main = batch.column("main").to_numpy(zero_copy_only=False) | (100 * common >= percent * (n + pivot_n - common))
+            tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(d)]).astype(np.int32)), pa.array(np.concatenate([*differ, np.zeros(0, np.uint64)]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "pivot", "label")), pa.array(main), pa.array(n), pa.array(pivot_n), pa.array(common), tokens], ["id", "pivot", "label", "main", "n", "pivot_n", "common", "tokens"])
+
+    both = spokes.join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("pivot_t")), "pivot").join(texts.select("id", F.col("text").alias("t")), "id")
+    return arrow_map(both.select("id", "pivot", "label", "main", "t", "pivot_t"), run, "id long, pivot long, label long, main boolean, n long, pivot_n long, common long, tokens array<long>")
+
+
+def _links_of_differences(found: DataFrame, percent: int) -> DataFrame:
+    """The links (a, b) between members of one pivot that have different labels, at least one of them not main.
+
+    Two members have common + other common - pivot_n + (shared tokens) shingles in common, and are linked from
+    percent * (n + other n) / (100 + percent) on. That needs a positive number of shared tokens if one of them isn't linked to
+    the pivot, so both hold one of the same in a prefix of their tokens in any fixed order. `wide` tokens are the prefix for
+    partners of all kinds, `short` ones for partners that aren't main, which is all that a main member can meet.
+    """
+    whole = 100 + percent
+    spare = F.lit(percent) * F.col("n") - F.lit(whole) * F.col("common")
+    least = found.groupBy("pivot").agg(F.min(spare).alias("least"), F.min(F.when(~F.col("main"), spare)).alias("least_rest")).where("least_rest is not null")
+    prefix = lambda other: F.size("tokens") + 1 - F.ceil((spare + F.lit(whole) * F.col("pivot_n") + F.col(other)) / F.lit(whole))
+    sized = found.join(least, "pivot").select("id", "pivot", "label", "main", "tokens", prefix("least_rest").alias("short"), F.when(F.col("main"), prefix("least_rest")).otherwise(F.greatest(prefix("least"), prefix("least_rest"))).alias("wide"), F.size("tokens").alias("n_tokens"))
+    each = sized.where("wide > 0").select("id", "pivot", "label", "main", "short", "wide", "n_tokens", F.explode("tokens").alias("token"))
+    often = each.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    own = Window.partitionBy("pivot", "id")
+    place = F.col("n_tokens") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("times", "token")) - 1
+    rare = each.join(often, ["pivot", "token"]).withColumn("place", place).where("place < wide").select("pivot", "token", "id", "label", "main", (F.col("place") < F.col("short")).alias("short"))
+    rare = cut(rare)
+    x, y = rare.where("not main").alias("x"), rare.alias("y")
+    meet = F.col("y.main") | (F.col("x.short") & F.col("y.short") & (F.col("x.id") < F.col("y.id")))
+    pairs = x.join(y, [F.col("x.pivot") == F.col("y.pivot"), F.col("x.token") == F.col("y.token"), F.col("x.label") != F.col("y.label"), meet])
+    pairs = pairs.select(F.col("x.pivot").alias("pivot"), F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    side = lambda name: found.select("pivot", *(F.col(c).alias(f"{c}_{name}") for c in ("id", "n", "pivot_n", "common", "tokens"))).withColumnRenamed(f"id_{name}", name)
+    both = pairs.join(side("a"), ["pivot", "a"]).join(side("b"), ["pivot", "b"])
+    shared = F.col("common_a") + F.col("common_b") - F.col("pivot_n_a") + F.size(F.array_intersect("tokens_a", "tokens_b"))
+    return both.where(F.lit(whole) * shared >= F.lit(percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+
 def _key():
     return F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_key")
 
@@ -139,30 +188,31 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     bucket = ["band", "hash"]
     banded = classes.select("id", F.posexplode("bands").alias(*bucket))
     buckets = kept(banded.groupBy(*bucket).agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
-    members = kept(banded.join(buckets.where("members > 2").select(*bucket, F.col("low").alias("pivot")), bucket), "members")
-    meeting = buckets.where("members = 2").select(F.col("high").alias("a"), F.col("low").alias("b")).union(members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))).distinct()
+    members = kept(banded.join(buckets.where("members > 2").select(*bucket, "members"), bucket), "members")
+    central = members.groupBy("id").agg(F.sum("members").alias("met"))
+    pivots = members.join(central, "id").groupBy(*bucket).agg(F.max_by("id", F.struct("met", -F.col("id"))).alias("pivot"))
+    spokes = kept(members.join(pivots, bucket).where("id <> pivot").select("id", "pivot").distinct(), "spokes")
+    meeting = buckets.where("members = 2").select(F.col("high").alias("a"), F.col("low").alias("b")).union(spokes).distinct()
     looks = classes.select("id", "n", *_SKETCH)
     side = lambda name, prefix: looks.select(F.col("id").alias(name), *(F.col(c).alias(f"{prefix}{c}") for c in ("n", *_SKETCH)))
     # A link needs sizes this close; and less agreement than AGREE has a chance of 1e-7 in linked sets.
     near = (F.lit(percent) * F.greatest("x_n", "y_n") <= F.lit(100) * F.least("x_n", "y_n")) & (_agreeing("x_", "y_") >= AGREE)
     stars = kept(meeting.join(side("a", "x_"), "a").join(side("b", "y_"), "b").where(near).select("a", "b"), "stars")
 
-    wanted = stars.select(F.col("a").alias("id")).union(stars.select("b")).union(members.select("id")).distinct().join(classes.select("id", "doc_id", "text_hash"), "id")
-    there = documents.select(_key(), F.xxhash64("text").alias("text_hash"), "text").groupBy("doc_key", "text_hash").agg(F.first("text").alias("text"))
-    texts = kept(wanted.select("id", _key(), "text_hash").join(there, ["doc_key", "text_hash"]).select("id", "text"), "texts")
+    wanted = stars.select(F.col("a").alias("id")).union(stars.select("b")).union(spokes.select("id")).union(spokes.select("pivot")).distinct().join(classes.select("id", _key(), "text_hash"), "id")
+    there = documents.select(_key(), F.xxhash64("text").alias("text_hash"), "text")
+    texts = kept(there.join(wanted, ["doc_key", "text_hash"]).groupBy("id").agg(F.first("text").alias("text")), "texts")
 
     linked = (F.lit(100) * F.col("shared")) >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("shared"))
     first = components(_verified(stars, texts, size).where(linked).select("a", "b"))
 
-    # What is left: candidates of a bucket in different components.
-    placed = members.where("id <> pivot").join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mixed = placed.groupBy(*bucket).agg(F.min("label").alias("u"), F.max("label").alias("v")).where("u <> v").select(*bucket)
-    open_ = placed.join(mixed, bucket).join(classes.select("id", "n", "bands", *_SKETCH), "id")
-    x, y = (open_.select(*bucket, *(F.col(c).alias(f"{p}{c}") for c in ("id", "label", "n", "bands", *_SKETCH))) for p in ("x_", "y_"))
-    # A pair leaves only the first bucket that it shares.
-    shared = F.coalesce(*(F.when(F.col("x_bands")[i] == F.col("y_bands")[i], i) for i in range(BANDS)))
-    pairs = x.alias("x").join(y.alias("y"), [*(F.col(f"x.{c}") == F.col(f"y.{c}") for c in bucket), F.col("x_id") < F.col("y_id"), F.col("x_label") != F.col("y_label"), near, shared == F.col("x.band")])
-    more = _verified(pairs.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")), texts, size).where(linked).select("a", "b")
+    # What is left: members of a pivot in different components.
+    label = lambda name: first.select(F.col("node").alias(name), F.col("label").alias(f"{name}_label"))
+    placed = spokes.join(label("id"), "id", "left").join(label("pivot"), "pivot", "left").select("id", "pivot", F.coalesce("id_label", "id").alias("label"), F.coalesce("pivot_label", "pivot").alias("pivot_label"))
+    placed = placed.withColumn("main", F.col("label") == F.col("pivot_label")).drop("pivot_label")
+    mixed = placed.groupBy("pivot").agg(F.min("label").alias("u"), F.max("label").alias("v")).where("u <> v").select("pivot")
+    differ = kept(_differences(placed.join(mixed, "pivot"), texts, size, percent), "differences")
+    more = differ.where("main").select(F.col("id").alias("a"), F.col("pivot").alias("b")).union(_links_of_differences(differ, percent))
     labels = components(first.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
 
     grouped = classes.select("id", *key, "low").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -176,8 +226,13 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
 
 
 def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of documents that near_duplicates() keeps, with all their columns."""
-    found = near_duplicates(documents, size, percent)
-    gone = found.where(~F.col("kept")).select(_key().alias("__key"), F.col("text_hash").alias("__hash")).distinct()
-    here = (F.coalesce(documents["doc_id"], F.lit(-(1 << 63))) == F.col("__key")) & (F.xxhash64(documents["text"]) == F.col("__hash"))
+    """The rows of documents that near_duplicates() keeps, with all their columns, whatever their names.
+
+    Of rows of one doc_id and text that stay all stay, also repeated ones, as none comes before the others. Null, empty and
+    wordless texts stay, and rows without a doc_id unless they are linked to one that has one. No rows give no rows.
+    """
+    found = near_duplicates(documents.select("doc_id", "text"), size, percent)
+    key, text_hash = (f"{free_prefix(documents.columns)}{name}" for name in ("key", "hash"))
+    gone = found.where(~F.col("kept")).select(_key().alias(key), F.col("text_hash").alias(text_hash)).distinct()
+    here = (F.coalesce(documents["doc_id"], F.lit(-(1 << 63))) == F.col(key)) & (F.xxhash64(documents["text"]) == F.col(text_hash))
     return documents.join(gone, here, "left_anti")

@@ -65,6 +65,48 @@ def test_minhash_matches_brute_force(spark, size):
     assert sorted(r.doc_id for r in minhash.keep_one(df, size).collect()) == sorted(set(want.values()))
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_minhash_among_near_copies_of_one_text(spark, seed):
+    """Copies with changes of their own, too far from each other for one pivot, and copies of such copies."""
+    rng = random.Random(seed)
+    change = lambda text, n: [f"c{rng.randrange(10**6)}" if k in places else w for places in [set(rng.sample(range(len(text)), n))] for k, w in enumerate(text)]
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = [change(base, rng.randint(1, 9)) for _ in range(60)]
+    rows += [change(rng.choice(rows), rng.randint(1, 4)) for _ in range(40)]
+    rows = [" ".join(r) for r in rows] + [" ".join(base)] * (seed - 1)
+    rng.shuffle(rows)
+    sets = {i: shingle_set(t, 4) for i, t in enumerate(rows)}
+    want = groups(list(sets), lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    assert 5 < len(set(want.values())) < len(rows)
+    calls = []
+    real = minhash._links_of_differences
+    minhash._links_of_differences = lambda found, percent: calls.append(found.count()) or real(found, percent)
+    try:
+        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), 4).collect()}
+    finally:
+        minhash._links_of_differences = real
+    assert got == want and calls[0] > 20
+
+
+def test_links_of_differences_are_all_and_only_the_links(spark):
+    """Against all pairs, with members of few and of many changes, larger and smaller ones, and components beside the pivot's."""
+    rng = random.Random(4)
+    pivot = set(range(100))
+    members = {}
+    for i in range(1, 121):
+        x = set(rng.choice(list(members.values())) if members and rng.random() < 0.5 else pivot)
+        x -= set(rng.sample(sorted(x), rng.randint(0, 12)))
+        x |= {rng.randrange(100, 400) for _ in range(rng.randint(0, 14))}
+        members[i] = x
+    linked = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
+    label = {i: 0 if linked(x, pivot) else rng.choice([i, 7, 9]) for i, x in members.items()}
+    rows = [(i, 0, label[i], label[i] == 0, len(x), 100, len(x & pivot), sorted(x ^ pivot)) for i, x in members.items()]
+    found = spark.createDataFrame(rows, "id long, pivot long, label long, main boolean, n long, pivot_n long, common long, tokens array<long>")
+    got = {tuple(sorted(r)) for r in minhash._links_of_differences(found, 80).collect()}
+    want = {(i, j) for i, j in combinations(members, 2) if label[i] != label[j] and linked(members[i], members[j])}
+    assert got == want and len(want) > 20
+
+
 def test_minhash_on_the_documents(spark):
     rows = pq.read_table(DOCS, columns=["doc_id", "text"]).to_pylist()
     sets = {r["doc_id"]: shingle_set(r["text"], 5) for r in rows}
