@@ -17,10 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.session import arrow_map, cut, delete, table
+from quillstone.llm.session import arrow_map, cut, delete, free_prefix, table
 from quillstone.llm.words import Words, mix, raw
 
 SENTENCES, WORDS, WINDOW = 3, 20, 8
+#: Bits for a span's number of sentences, which is at most the greater of SENTENCES and WORDS, as each has a word.
 _SPAN_BITS = 20
 _STOP, _CLOSE = np.zeros(256, bool), np.zeros(256, bool)
 _STOP[list(b".!?")] = True
@@ -88,7 +89,7 @@ def _spans(documents: DataFrame) -> DataFrame:
             text, place, size, h1, h2 = Sentences(batch.column("text")).spans()
             new = ~_again(text, h1, h2)
             text = pa.array(text[new])
-            span = place[new] << _SPAN_BITS | np.minimum(size[new], (1 << _SPAN_BITS) - 1)
+            span = place[new] << _SPAN_BITS | size[new]
             yield pa.RecordBatch.from_arrays([batch.column("key").take(text), batch.column("text_hash").take(text), pa.array(span), pa.array(h1[new]), pa.array(h2[new])], ["key", "text_hash", "span", "h1", "h2"])
 
     return arrow_map(documents.select(*_identity(documents), "text"), run, "key long, text_hash long, span long, h1 long, h2 int")
@@ -100,26 +101,32 @@ def _identity(documents: DataFrame):
 
 def _repeats(documents: DataFrame) -> DataFrame:
     """key, text_hash, spans: the spans of a document that an earlier document has."""
+    spark = documents.sparkSession
     found, path = table(_spans(documents), "spans")
     content = ["h1", "h2"]
-    repeated = found.groupBy(*content).agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first <> last").drop("last")
-    later = found.join(repeated, content).where("key <> first")
+    repeated = found.groupBy(*content).agg(F.count(F.lit(1)).alias("times")).where("times > 1").select(*content)
+    met, met_path = table(found.join(repeated, content), "repeated-spans")
+    first = met.groupBy(*content).agg(F.min(F.struct("key", "text_hash")).alias("first"))
+    later = met.join(first, content).where((F.col("key") != F.col("first.key")) | (F.col("text_hash") != F.col("first.text_hash")))
     out = cut(later.groupBy("key", "text_hash").agg(F.collect_set("span").alias("spans")))
-    delete(documents.sparkSession, path)
+    delete(spark, path)
+    delete(spark, met_path)
     return out
 
 
 def dedup_passages(documents: DataFrame) -> DataFrame:
-    """documents with text without its repeated passages, and __n_sentences, __n_removed, __removed_words.
+    """documents with text without its repeated passages, and __n_sentences, __n_removed, __removed_words (more underscores where documents has such names: free_prefix()).
 
-    The first of equal spans is the one of smallest doc_id (null last), in it the earliest. documents: doc_id, text and any
+    The first of equal spans is the one of smallest doc_id (null last) and, of one doc_id, smallest hash of the text, in it the earliest. documents: doc_id, text and any
     others, which stay as they are. Null stays null; texts of fewer than SENTENCES sentences or WORDS words have no spans and
-    stay. Rows that share a doc_id count as one document and don't repeat each other. White space after a removed sentence goes
+    stay. Rows that share a doc_id, or have none, are documents of their own if their texts differ; rows equal in both count as one document and keep the same sentences. White space after a removed sentence goes
     with it. A text may lose all its sentences. Very long texts are hashed whole. No rows give no rows.
     """
-    repeats = _repeats(documents).select(F.col("key").alias("__key"), F.col("text_hash").alias("__text_hash"), F.col("spans").alias("__spans"))
+    prefix = free_prefix(documents.columns)
+    key_, hash_, spans_, *report = (f"{prefix}{x}" for x in ("key", "text_hash", "spans", "n_sentences", "n_removed", "removed_words"))
+    repeats = _repeats(documents.select("doc_id", "text")).select(F.col("key").alias(key_), F.col("text_hash").alias(hash_), F.col("spans").alias(spans_))
     key, text_hash = _identity(documents)
-    rows = documents.select("*", key.alias("__key"), text_hash.alias("__text_hash")).join(repeats, ["__key", "__text_hash"], "left").drop("__key", "__text_hash")
+    rows = documents.select("*", key.alias(key_), text_hash.alias(hash_)).join(repeats, [key_, hash_], "left").drop(key_, hash_)
     at = documents.columns.index("text")
 
     def run(batches):
@@ -150,9 +157,11 @@ def dedup_passages(documents: DataFrame) -> DataFrame:
                     texts[i] = _without(s, i, own)
             columns = list(batch.columns[:-1])
             columns[at] = pa.array(texts, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(s.of)), pa.array(removed, pa.int64()), pa.array(lost, pa.int64())], [*batch.schema.names[:-1], "__n_sentences", "__n_removed", "__removed_words"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(s.of)), pa.array(removed, pa.int64()), pa.array(lost, pa.int64())], [*batch.schema.names[:-1], *report])
 
-    schema = rows.drop("__spans").schema.add("__n_sentences", "long").add("__n_removed", "long").add("__removed_words", "long")
+    schema = rows.drop(spans_).schema
+    for name in report:
+        schema = schema.add(name, "long")
     return arrow_map(rows, run, schema)
 
 

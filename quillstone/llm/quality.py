@@ -77,7 +77,11 @@ def base_failed(counts: np.ndarray) -> np.ndarray:
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> boosting.Trees | None:
-    """Trees fitted to labelled documents; None if no document has a label. Labels without id or quality don't count."""
+    """Trees fitted to labelled documents; None if no document has a label, as where either table is empty.
+
+    Labels without id or quality don't count; of repeated ones the worse does. Rows of one doc_id count once, and rows without
+    one don't; null and empty texts have no words.
+    """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("__quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # at most `sample` rows of two numbers
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
@@ -87,7 +91,8 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> boosti
             _, x = measure(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("__quality").cast(pa.int32()), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
-    got = sorted((r.doc_id, list(r.x), r.y) for r in arrow_map(rows, run, "doc_id long, y int, x array<double>").collect())
+    one = arrow_map(rows, run, "doc_id long, y int, x array<double>").groupBy("doc_id").agg(F.min(F.struct("y", "x")).alias("row"))  # at most `sample` rows
+    got = sorted((r.doc_id, list(r.row.x), r.row.y) for r in one.collect())
     if not got:
         return None
     return boosting.fit(np.array([g[1] for g in got]), np.array([g[2] > 0 for g in got]), MONOTONE)
@@ -118,7 +123,7 @@ def judge(documents: DataFrame, trees: boosting.Trees | None) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, trees: boosting.Trees | None) -> DataFrame:
-    """The rows of documents that judge() keeps, with all their columns."""
+    """The rows of documents that judge() keeps, with all their columns, whatever their names; repeated rows and those without a doc_id are judged by their text like others. No rows give no rows."""
     at = documents.columns.index("text")
 
     def run(batches):

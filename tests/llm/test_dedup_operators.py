@@ -333,6 +333,13 @@ def test_passages_match_brute_force(spark, odd_documents, no_documents):
     assert minhash.near_duplicates(odd_documents).count() == odd_documents.count()
 
 
+def test_passages_of_rows_without_ids_or_with_one_id(spark):
+    shared = " ".join(f"s{i}." for i in range(40))
+    rows = [(None, "a b. " + shared), (None, "c d. " + shared), (7, "e f. " + shared), (7, "g h. " + shared)]
+    got = passages.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id is None, r["__n_removed"] > 0) for r in got) == [(False, False), (False, True), (True, True), (True, True)]
+
+
 @pytest.mark.parametrize("sizes", [(60, 60), (14, 16), (12, 16), (3, 9)])
 def test_any_51_shared_words_hold_a_span(spark, sizes):
     """Passages that begin and end anywhere, with sentences of so many words; 60: no punctuation within."""

@@ -122,6 +122,41 @@ def test_last_stage_is_a_packing_of_what_was_left(stages):
     assert packing.plan({}, 1024) == []
 
 
+def test_stages_on_odd_rows_and_empty_tables(spark, tmp_path_factory):
+    """Null ids and texts, repeated rows, names that clash with the operators' own, and no rows."""
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, __key string, __n_removed int, __drop int"
+    prose = " ".join(f"word{i}." for i in range(60))
+    rows = [(i, t, None, None, None, "k", 1, None) for i, t in ((1, prose), (1, prose), (None, prose + " x y"), (None, "z " + prose), (2, None), (3, ""), (4, prose.upper()), (5, " ".join(f"other{i}" for i in range(50))))]
+    for table in (rows, []):
+        docs = spark.createDataFrame(table, kinds)
+        for name, stage in corpus_pipeline.STAGES:
+            path = str(tmp_path_factory.mktemp("odd") / name)
+            stage(spark, docs, SF).write.parquet(path)
+            after = spark.read.parquet(path)
+            if name != "packing":
+                assert after.columns == docs.columns
+                assert {r["__key"] for r in after.collect()} <= {"k"}
+            docs = after
+        if not table:
+            assert docs.count() == 0
+
+
+def test_scores_are_those_of_a_walk_down_each_tree():
+    rng = np.random.default_rng(3)
+    x = rng.random((300, 4))
+    trees = boosting.fit(x, (x[:, 0] + x[:, 1] > 1) ^ (x[:, 2] > 0.8), np.zeros(4, int), trees=20)
+
+    def walk(row):
+        total = trees.base
+        for node in trees.roots:
+            while trees.left[node] != node:
+                node = trees.left[node] if row[trees.feature[node]] <= trees.threshold[node] else trees.right[node]
+            total += trees.value[node]
+        return 1 / (1 + np.exp(-total))
+
+    assert np.allclose(trees.score(x), [walk(r) for r in x], rtol=0, atol=1e-12)
+
+
 def test_run_gives_the_last_stages_rows(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == stages[-1].columns
