@@ -131,22 +131,24 @@ def _links_of_differences(found: DataFrame, percent: int) -> DataFrame:
     Two members have common + other common - pivot_n + (shared tokens) shingles in common, and are linked from
     percent * (n + other n) / (100 + percent) on. That needs a positive number of shared tokens if one of them isn't linked to
     the pivot, so both hold one of the same in a prefix of their tokens in any fixed order. `wide` tokens are the prefix for
-    partners of all kinds, `short` ones for partners that aren't main, which is all that a main member can meet.
+    partners of all kinds, `short` ones for partners that aren't main, which is all that a main member can meet. A token at some
+    place can be a pair's first common one only if enough follow on both sides (the positional filter of PPJoin).
     """
     whole = 100 + percent
     spare = F.lit(percent) * F.col("n") - F.lit(whole) * F.col("common")
     least = found.groupBy("pivot").agg(F.min(spare).alias("least"), F.min(F.when(~F.col("main"), spare)).alias("least_rest")).where("least_rest is not null")
     prefix = lambda other: F.size("tokens") + 1 - F.ceil((spare + F.lit(whole) * F.col("pivot_n") + F.col(other)) / F.lit(whole))
-    sized = found.join(least, "pivot").select("id", "pivot", "label", "main", "tokens", prefix("least_rest").alias("short"), F.when(F.col("main"), prefix("least_rest")).otherwise(F.greatest(prefix("least"), prefix("least_rest"))).alias("wide"), F.size("tokens").alias("n_tokens"))
-    each = sized.where("wide > 0").select("id", "pivot", "label", "main", "short", "wide", "n_tokens", F.explode("tokens").alias("token"))
+    sized = found.join(least, "pivot").select("id", "pivot", "label", "main", "tokens", spare.alias("spare"), "pivot_n", prefix("least_rest").alias("short"), F.when(F.col("main"), prefix("least_rest")).otherwise(F.greatest(prefix("least"), prefix("least_rest"))).alias("wide"), F.size("tokens").alias("n_tokens"))
+    each = sized.where("wide > 0").select("id", "pivot", "label", "main", "short", "wide", "n_tokens", "spare", "pivot_n", F.explode("tokens").alias("token"))
     often = each.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     own = Window.partitionBy("pivot", "id")
     place = F.col("n_tokens") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("times", "token")) - 1
-    rare = each.join(often, ["pivot", "token"]).withColumn("place", place).where("place < wide").select("pivot", "token", "id", "label", "main", (F.col("place") < F.col("short")).alias("short"))
+    rare = each.join(often, ["pivot", "token"]).withColumn("place", place).where("place < wide").select("pivot", "token", "id", "label", "main", (F.col("place") < F.col("short")).alias("short"), "spare", "pivot_n", (F.col("n_tokens") - F.col("place")).alias("left"))
     rare = cut(rare)
     x, y = rare.where("not main").alias("x"), rare.alias("y")
     meet = F.col("y.main") | (F.col("x.short") & F.col("y.short") & (F.col("x.id") < F.col("y.id")))
-    pairs = x.join(y, [F.col("x.pivot") == F.col("y.pivot"), F.col("x.token") == F.col("y.token"), F.col("x.label") != F.col("y.label"), meet])
+    enough = F.lit(whole) * F.least("x.left", "y.left") >= F.col("x.spare") + F.col("y.spare") + F.lit(whole) * F.col("x.pivot_n")
+    pairs = x.join(y, [F.col("x.pivot") == F.col("y.pivot"), F.col("x.token") == F.col("y.token"), F.col("x.label") != F.col("y.label"), enough, meet])
     pairs = pairs.select(F.col("x.pivot").alias("pivot"), F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     side = lambda name: found.select("pivot", *(F.col(c).alias(f"{c}_{name}") for c in ("id", "n", "pivot_n", "common", "tokens"))).withColumnRenamed(f"id_{name}", name)
     both = pairs.join(side("a"), ["pivot", "a"]).join(side("b"), ["pivot", "b"])
