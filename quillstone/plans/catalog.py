@@ -98,7 +98,7 @@ def ac01(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "jn04_row_assignment",
     f"""WITH {_WIDE_SQL}, obs AS (
-  SELECT event_id, CAST(user_id AS VARCHAR) AS company, CAST(ts AS DATE) - INTERVAL 25 YEAR AS day FROM events WHERE event_type = 'error'
+  SELECT event_id, CAST(user_id AS VARCHAR) AS company, CAST(ts AS DATE) - INTERVAL 25 YEAR AS day FROM events
 ), obs2 AS (
   SELECT *, year(date_trunc('month', day) - INTERVAL 1 MONTH) * 100 + month(date_trunc('month', day) - INTERVAL 1 MONTH) AS ref FROM obs
 ), ranked AS (
@@ -109,7 +109,7 @@ SELECT o.event_id, o.company, o.ref AS reference_month, l.company IS NOT NULL AS
 FROM obs2 o LEFT JOIN (SELECT * FROM ranked WHERE rn = 1) l USING (event_id) LEFT JOIN (SELECT * FROM ranked WHERE rn = 2) p USING (event_id)""",
 )
 def jn04(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events").where("event_type = 'error'")
+    e = table(spark, d, "events")
     obs = e.select("event_id", F.col("user_id").cast("string").alias("company"), F.add_months(F.to_date("ts"), -300).alias("day"))
     return accounts.assign(obs, _wide(spark, d), "company", "day", first_period=_FIRST).drop("day")
 

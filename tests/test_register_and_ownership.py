@@ -16,11 +16,11 @@ def company(number, born, postcode, line, category, due, statement, sic, **more)
 
 
 COMPANIES = [
-    company("00000001", "15/01/2020", "AB1 2CD", "1 High Street", "MICRO ENTITY", "01/01/2027", "01/01/2027", "62012 - Software", **{"Mortgages.NumMortCharges": "2", "Mortgages.NumMortOutstanding": "1", "Mortgages.NumMortPartSatisfied": "0", "Mortgages.NumMortSatisfied": "1", "PreviousName_1.CompanyName": "OLD"}),
-    company("00000002", "01/01/2010", "AB1 2CD", "1 High Street", "DORMANT", "01/01/2020", "01/01/2020", "99999 - Dormant"),
-    company("00000003", "01/06/2023", "XY9 9ZZ", "9 Other Road", "MICRO ENTITY", "01/01/2027", "", "74990 - Non-trading"),
-    company("00000004", "01/01/2000", "ZZ1 1ZZ", "4 Old Lane", "NO ACCOUNTS FILED", "01/01/2010", "", "82990 - n.e.c."),
-    company("00000005", "01/07/2026", "ZZ2 2ZZ", "5 New Way", "NO ACCOUNTS FILED", "01/04/2028", "", "62020 - Consultancy"),
+    company("06110007", "20/09/2015", "QQ3 4RS", "Unit 12, Mill Yard", "SMALL", "30/06/2027", "15/03/2027", "47110 - Retail", **{"Mortgages.NumMortCharges": "6", "Mortgages.NumMortOutstanding": "3", "Mortgages.NumMortPartSatisfied": "2", "Mortgages.NumMortSatisfied": "1", "PreviousName_1.CompanyName": "FIRST", "PreviousName_2.CompanyName": "SECOND"}),
+    company("06110018", "03/03/2012", "QQ3 4RS", "Unit 14, Mill Yard", "DORMANT", "31/12/2024", "14/02/2025", "99999 - Dormant"),
+    company("06110029", "11/11/2022", "QQ3 4RS", "The Barn", "TOTAL EXEMPTION FULL", "28/02/2027", "", "74990 - Non-trading"),
+    company("06110030", "08/08/1998", "WW5 6TT", "77 Canal Side", "NO ACCOUNTS FILED", "08/05/2000", "", "96090 - Other"),
+    company("06110041", "30/05/2026", "WW7 8UU", "2 Hill Top", "NO ACCOUNTS FILED", "28/02/2028", "", "01110 - Growing"),
 ]
 
 
@@ -31,18 +31,21 @@ def write_register(path: Path, extra: str = "") -> str:
 
 
 def test_register_features(spark, tmp_path):
-    got = {r.company_number: r for r in register.features(files.register(spark, write_register(tmp_path / "r.csv")), "2026-08-01", nec_codes=("82990",)).collect()}
-    one, two = got["00000001"], got["00000002"]
-    assert (one.n_charges, one.n_outstanding, one.n_part_satisfied, one.n_satisfied, one.n_previous_names, one.sic_section) == (2, 1, 0, 1, 1, "J")
-    assert (two.accounts_overdue, two.confirmation_overdue, two.sic_dormant, two.n_companies_same_postcode) == (True, True, True, 2)
-    assert got["00000003"].sic_non_trading and got["00000004"].sic_nec
-    assert (got["00000004"].accounts_never_filed, got["00000005"].accounts_never_filed) == (True, False)
-    assert "postcode" not in got["00000001"].asDict()
+    got = {r.company_number: r for r in register.features(files.register(spark, write_register(tmp_path / "r.csv")), "2026-08-01", nec_codes=("96090",)).collect()}
+    assert set(got) == {c["CompanyNumber"] for c in COMPANIES}
+    shop, dormant, idle, old, young = (got[c["CompanyNumber"]] for c in COMPANIES)
+    assert [shop.n_charges, shop.n_outstanding, shop.n_part_satisfied, shop.n_satisfied] == [6, 3, 2, 1]
+    assert (shop.n_previous_names, shop.sic_section, shop.accounts_overdue) == (2, "G", False)
+    assert dormant.accounts_overdue and dormant.confirmation_overdue and dormant.sic_dormant
+    assert {r.n_companies_same_postcode for r in (shop, dormant, idle)} == {3}
+    assert idle.sic_non_trading and old.sic_nec and not idle.sic_nec
+    assert old.accounts_never_filed and not young.accounts_never_filed
+    assert "postcode" not in shop.asDict()
 
 
 def test_malformed_rows_are_set_apart_and_limited(spark, tmp_path):
     good, bad = files.register_with_rejects(spark, write_register(tmp_path / "r.csv", "a,b,c\n\n"))
-    assert good.count() == 5 and [r.line for r in bad.collect()] == ["a,b,c"]
+    assert good.count() == len(COMPANIES) and [r.line for r in bad.collect()] == ["a,b,c"]
     with pytest.raises(ValueError):
         files.register_with_rejects(spark, write_register(tmp_path / "s.csv", "a,b\n" * 6))
 
