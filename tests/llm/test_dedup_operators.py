@@ -203,6 +203,27 @@ def test_edits_are_the_levenshtein_distance():
         assert (line_dedup.edits(a, b, 5) is not None) == (want <= 5)
 
 
+def test_similar_all_is_similar_of_each_pair(monkeypatch):
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("abcdeé𝔸") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    pairs = []
+    for _ in range(600):
+        a = [rng.choice(vocabulary) for _ in range(rng.randint(1, 45))]
+        b = list(a)
+        for _ in range(rng.randint(0, len(a) // 2)):
+            at = rng.randrange(len(b))
+            b[at : at + 1] = rng.choice([[rng.choice(vocabulary)], [b[at], rng.choice(vocabulary)]])
+        pairs.append((" ".join(a), " ".join(b)))
+    pairs += [("", ""), ("a", ""), ("a" * 64, "a" * 63 + "b"), ("a" * 65, "b" * 65), ("a" * 128, "a" * 129), ("ab" * 600, "ab" * 590), ("ab" * 600, "ba" * 300)]
+    want = [distance(a, b) <= int((1 - line_dedup.SIMILARITY) * max(len(a), len(b)) + 1e-9) for a, b in pairs]
+    xs, ys = [list(x) for x in zip(*pairs, strict=True)]
+    assert line_dedup.similar_all(xs, ys).tolist() == want and 100 < sum(want) < len(want) - 100
+    monkeypatch.setattr(line_dedup, "WIDE", 100)
+    monkeypatch.setattr(line_dedup, "TOGETHER", 16)
+    assert line_dedup.similar_all(xs, ys).tolist() == want == [line_dedup.similar(a, b) for a, b in pairs]
+    assert line_dedup.similar_all([], []).tolist() == []
+
+
 def brute_lines(rows):
     """rows of (doc, text) in order of doc: the kept text and the number of lines removed."""
     found = [(d, k, line_dedup.normalise(x)) for d, t in rows for k, x in enumerate((t or "").split("\n"))]
