@@ -207,7 +207,7 @@ def test_similar_all_is_similar_of_each_pair(monkeypatch):
     rng = random.Random(12)
     vocabulary = ["".join(rng.choice("abcdeé𝔸") for _ in range(rng.randint(1, 9))) for _ in range(60)]
     pairs = []
-    for _ in range(600):
+    for _ in range(300):
         a = [rng.choice(vocabulary) for _ in range(rng.randint(1, 45))]
         b = list(a)
         for _ in range(rng.randint(0, len(a) // 2)):
@@ -217,7 +217,7 @@ def test_similar_all_is_similar_of_each_pair(monkeypatch):
     pairs += [("", ""), ("a", ""), ("a" * 64, "a" * 63 + "b"), ("a" * 65, "b" * 65), ("a" * 128, "a" * 129), ("ab" * 600, "ab" * 590), ("ab" * 600, "ba" * 300)]
     want = [distance(a, b) <= int((1 - line_dedup.SIMILARITY) * max(len(a), len(b)) + 1e-9) for a, b in pairs]
     xs, ys = [list(x) for x in zip(*pairs, strict=True)]
-    assert line_dedup.similar_all(xs, ys).tolist() == want and 100 < sum(want) < len(want) - 100
+    assert line_dedup.similar_all(xs, ys).tolist() == want and 50 < sum(want) < len(want) - 50
     monkeypatch.setattr(line_dedup, "WIDE", 100)
     monkeypatch.setattr(line_dedup, "TOGETHER", 16)
     assert line_dedup.similar_all(xs, ys).tolist() == want == [line_dedup.similar(a, b) for a, b in pairs]
