@@ -60,6 +60,11 @@ def label_cohort(companies: DataFrame, status: str, cases: tuple[str, ...], comp
     return companies.withColumn("cohort", F.when(s.isin(*cases), "case").when(s.isin(*comparisons), "comparison").otherwise("other"))
 
 
+def excluding(companies: DataFrame, excluded: DataFrame, key: str) -> DataFrame:
+    """companies whose key isn't among those excluded; rows without a key stay, and null or repeated exclusions change nothing."""
+    return companies.join(excluded.select(key), key, "left_anti").select(*companies.columns)
+
+
 def control_strata(register: DataFrame, reference: str) -> DataFrame:
     """Active companies with stratum section|age band."""
     day = F.lit(reference).cast("date")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Forms that published text must not hold.
@@ -49,6 +49,31 @@ def part_set(files: DataFrame, name: str, pattern: str) -> DataFrame:
     return out.withColumn("complete", (F.col("parts") == F.col("expected")) & (F.col("__d") == F.col("expected")) & (F.col("__least") == F.col("expected")) & (F.col("__k") == F.col("expected"))).drop("__d", "__least", "__k")
 
 
+def scope_coverage(stored: DataFrame, requested: DataFrame, scope: str, item: str) -> DataFrame:
+    """scope, n_requested, n_stored, n_missing, covered: whether what a run asks for per scope is all there already, so it can be resumed.
+
+    Distinct items count; null items and items that nobody asked for don't.
+    """
+    have = stored.select(scope, item).distinct().withColumn("__have", F.lit(1))
+    both = requested.select(scope, item).where(F.col(item).isNotNull()).distinct().join(have, [scope, item], "left")
+    out = both.groupBy(scope).agg(F.count(F.lit(1)).alias("n_requested"), F.count("__have").alias("n_stored"))
+    return out.withColumn("n_missing", F.col("n_requested") - F.col("n_stored")).withColumn("covered", F.col("n_missing") == 0)
+
+
+def file_hashes(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """name, size, sha256 of the files of a folder whose names match; read on executors, one file in memory at a time."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+
+
+def verify_files(found: DataFrame, manifest: DataFrame) -> DataFrame:
+    """name, verdict of every file of a manifest (name, size, sha256) or of the folder: ok, missing, unexpected, size or sha256."""
+    f = found.select("name", F.col("size").alias("f_size"), F.col("sha256").alias("f_sha"))
+    both = manifest.select("name", "size", "sha256").join(f, "name", "full_outer")
+    verdict = F.when(F.col("f_sha").isNull(), "missing").when(F.col("sha256").isNull(), "unexpected").when(F.col("size") != F.col("f_size"), "size").when(F.lower("sha256") != F.col("f_sha"), "sha256").otherwise("ok")
+    return both.select("name", verdict.alias("verdict"))
+
+
 def parser_agreement(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     """Distinct facts in both, only in the first, only in the second."""
     x, y = a.select(*key).distinct().withColumn("__x", F.lit(1)), b.select(*key).distinct().withColumn("__y", F.lit(1))

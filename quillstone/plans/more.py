@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.functions import bands, dates, natures, text
-from quillstone.operators import cohort, evaluate, inventory, models, ownership, population, register, sampling
+from quillstone.functions import bands, dates, names, natures, text
+from quillstone.operators import cohort, evaluate, housekeeping, inventory, models, ownership, population, register, sampling
 from quillstone.plans.catalog import QUERIES, query, table
 
 
@@ -244,6 +244,31 @@ def agg26_tests(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.benjamini_hochberg(spark.createDataFrame(tests, "test string, p double"), "p", "test")
 
 
+@query("flt06_exclusion_list", "SELECT c_custkey, c_mktsegment FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')")
+def flt06(spark: SparkSession, d: str) -> DataFrame:
+    urgent = table(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("c_custkey"))
+    return cohort.excluding(table(spark, d, "customer").select("c_custkey", "c_mktsegment"), urgent, "c_custkey")
+
+
+@query("hk06_scope_coverage", """WITH asked AS (SELECT DISTINCT l_suppkey AS scope, l_partkey AS item FROM lineitem), have AS (SELECT DISTINCT l_suppkey AS scope, l_partkey AS item FROM lineitem WHERE l_returnflag <> 'R')
+SELECT scope, count(*) AS n_requested, count(h.item) AS n_stored, count(*) - count(h.item) AS n_missing, count(*) = count(h.item) AS covered FROM asked LEFT JOIN have h USING (scope, item) GROUP BY scope""")
+def hk06(spark: SparkSession, d: str) -> DataFrame:
+    asked = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("scope"), F.col("l_partkey").alias("item"), "l_returnflag")
+    return housekeeping.scope_coverage(asked.where("l_returnflag <> 'R'"), asked, "scope", "item")
+
+
+ENDINGS = ("EndDate", "companynumber", "AccountingPolicy", "Number", "Costs", "EmployeesDuringPeriod", "CashAtPeriodEnd", "Dates", "Ratio")
+
+
+@query("nrm27_names_and_units", f"""WITH n AS (SELECT p_partkey, replace(p_name, ' ', '') || {pick_sql(ENDINGS, "p_size % 9")} AS name, p_type || '/' || substr(p_brand, 1, 3) AS unit FROM part)
+SELECT p_partkey, CASE WHEN lower(name) LIKE '%companynumber' THEN 'identifier' WHEN name LIKE '%Number' OR name LIKE '%Costs' OR name LIKE '%DuringPeriod' OR name LIKE '%AtPeriodEnd' OR name LIKE '%Ratio' THEN 'numeric' WHEN name LIKE '%Date' OR name LIKE '%Policy' THEN 'text' ELSE 'other' END AS kind,
+array_to_string(list_transform(string_split(unit, '/'), lambda x: CASE WHEN regexp_full_match(upper(x), '[A-Z]{{3}}') THEN 'currency' ELSE lower(x) END), '/') AS family FROM n""")
+def nrm27(spark: SparkSession, d: str) -> DataFrame:
+    name = F.concat(F.replace("p_name", F.lit(" "), F.lit("")), pick(ENDINGS, F.col("p_size") % 9))
+    unit = F.concat("p_type", F.lit("/"), F.substring("p_brand", 1, 3))
+    return table(spark, d, "part").select("p_partkey", names.name_kind(name).alias("kind"), names.unit_family(unit).alias("family"))
+
+
 def catalog_queries() -> dict:
     """All queries, those of this module included."""
     return QUERIES

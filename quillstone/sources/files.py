@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillstone.operators.housekeeping import file_hashes
+
 #: More malformed rows than this stop a build.
 MAX_MALFORMED = 5
 
@@ -77,6 +82,39 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path)
 
 
+def write_sorted(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Parquet in total order of keys over its files: ranges of the first shuffle, sorted within, so that scans skip by statistics."""
+    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def write_union_csv(frames: list[DataFrame], path: str) -> None:
+    """CSV with a header of rows of several shapes: all columns in order of appearance, empty where a row has none."""
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    out.write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_manifest(spark: SparkSession, folder: str, path: str, facts: dict) -> dict:
+    """JSON with facts, and name, size and sha256 of each Parquet file of a folder; readers see the old manifest or the new one.
+
+    Files are hashed on executors. It is written beside its place and renamed, which replaces it in one step where the file
+    system can. One entry a file: their number has to fit the driver.
+    """
+    rows = file_hashes(spark, folder, "*.parquet").orderBy("name").collect()
+    manifest = {**facts, "files": [r.asDict() for r in rows]}
+    jvm = spark.sparkContext._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(jvm.java.net.URI(path) if "://" in path else jvm.java.io.File(path).toURI(), spark.sparkContext._jsc.hadoopConfiguration())
+    at, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    file = beside.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(beside)
+    file.write(bytearray(json.dumps(manifest, indent=1, sort_keys=True).encode()))
+    file.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(beside, at, overwrite)
+    return manifest
+
+
 def write_governed(df: DataFrame, path: str, banned: tuple[str, ...]) -> None:
     """Parquet without banned columns; what was written is read back and checked."""
     from quillstone.operators.housekeeping import require_columns_absent
