@@ -45,3 +45,11 @@ def test_query(spark, duck, name):
         assert normal(got) == normal(want)
     else:
         assert len(got)
+
+
+def test_only_customers_with_pending_orders_are_covered(spark, tmp_path):
+    spark.createDataFrame([(1, "A"), (2, "A"), (3, "B"), (4, None)], "c_custkey long, c_mktsegment string").write.parquet(str(tmp_path / "customer.parquet"))
+    orders = [(1, "P"), (1, "P"), (1, "F"), (2, "F"), (2, "O"), (3, None), (None, "P")]
+    spark.createDataFrame(orders, "o_custkey long, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
+    got = {tuple(r) for r in catalog.QUERIES["jn20_covered_by_category"](spark, str(tmp_path)).select("category", "n", "n_covered").collect()}
+    assert got == {("A", 2, 1), ("B", 1, 0), (None, 1, 0)}
