@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 from itertools import combinations, pairwise
 
 import pyarrow as pa
@@ -284,6 +285,30 @@ def test_similar_lines_go_whatever_their_simhashes(spark, tmp_path):
     assert len(far) > 50
 
 
+def test_unlike_lines_seldom_share_a_key_by_words():
+    """Long lines, half of whose words are a dozen frequent ones: few pairs meet, and they grow with few of the lines."""
+    rng = random.Random(21)
+    frequent = "the of and to in a is was for on that it".split()
+    lines = [" ".join(rng.choice(frequent) if rng.random() < 0.5 else "".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(3, 9))) for _ in range(150)) for _ in range(1500)]
+    keys = [Counter(k.drop_null().to_pylist()) for k in line_dedup.Lines(pa.array(lines)).word_keys()]
+    assert sum(n * (n - 1) // 2 for k in keys for n in k.values()) < 100
+    assert all(sum(k.values()) in (0, len(lines)) for k in keys)
+
+
+def test_buckets_meet_whatever_the_batches_they_come_in():
+    rng = random.Random(22)
+    rows = sorted({(rng.choice([-5, -1, 0, *range(3, 40)]), rng.randrange(1000)) for _ in range(120)} | {(7, i) for i in range(50)})
+    members = {}
+    for bucket, i in rows:
+        members.setdefault(bucket, []).append(i)
+    want = sorted((bucket, i, ids[0], len(ids) > 2) for bucket, ids in members.items() for i in ids[1:])
+    for size in (1, 2, 3, 7, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[at : at + size], strict=True)], ["bucket", "id"]) for at in range(0, len(rows), size)]
+        got = [r for b in line_dedup._meeting(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        assert sorted(got) == want
+    assert list(line_dedup._meeting(iter([]))) == []
+
+
 @pytest.mark.parametrize("blocks", [5, 6, 7])
 def test_close_simhashes_share_a_key(spark, blocks):
     rng = random.Random(blocks)
