@@ -285,6 +285,85 @@ def test_similar_lines_go_whatever_their_simhashes(spark, tmp_path):
     assert len(far) > 50
 
 
+def test_lines_with_a_common_passage_make_pairs_only_where_edits_can_reach(spark, tmp_path, monkeypatch):
+    """Tails of other letters after one passage: such lines are left open by their pivots, and none of their pairs is made; what is similar still goes."""
+    rng = random.Random(31)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(3, 8)))
+    passage = " ".join(word("abcdefgh") for _ in range(30))
+    letters, rows = "ijklmnopqrstuvwxyz", []
+    for i in range(24):
+        tail = [word(letters[i % 17] + letters[(i * 5 + i // 17 + 1) % 17]) for _ in range(22)]
+        rows.append(f"{passage} {' '.join(tail)}")
+        if i % 4 == 0:
+            tail[3], tail[17] = word(letters), word(letters)
+            rows.append(f"{passage} {' '.join(tail)} é 1")
+    rows = list(enumerate(rows))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    kept, made = line_dedup.table, {}
+
+    def counted(df, name):
+        out = kept(df, name)
+        made[name] = out[0].count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "table", counted)
+    left = {r.doc_id for r in queries.op5_line_dedup(spark, str(tmp_path)).collect() if r.n_removed == 0}
+    text = {i: line_dedup.normalise(x) for i, x in rows}
+    label = groups(list(text), lambda a, b: line_dedup.similar(text[a], text[b]))
+    assert left == set(label.values()) and len(left) == 24
+    assert made["open"] > 100 and made["rest"] < 40
+
+
+def test_letters_part_no_similar_lines(spark):
+    rng = random.Random(32)
+    rows = []
+    for _ in range(400):
+        letters = "".join(rng.sample("abcdefghijklmnopqrstuvwxyzéßя0", rng.choice([2, 9, 30])))
+        a = [rng.choice(letters + " ") for _ in range(rng.choice([3, 40, 300, 900]))]
+        b = list(a)
+        for _ in range(rng.randint(0, max(2, len(a) // 3))):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 1)] = rng.choice(["", rng.choice(letters), rng.choice("xyz é")])
+        rows.append((line_dedup.normalise("".join(a)), line_dedup.normalise("".join(b))))
+    rows = [r for r in rows if all(r)]
+    columns = []
+    for side in zip(*rows, strict=True):
+        x = line_dedup.Lines(pa.array(side))
+        assert len(x.chars) == len(rows)
+        columns += [x.chars.tolist(), *(c.to_pylist() for c in x.letters())]
+    names = [f"{c}_{side}" for side in "ab" for c in ("chars", *line_dedup._LETTERS)]
+    df = spark.createDataFrame(list(zip(*columns, strict=True)), ", ".join(f"{n} {'int' if n.startswith('chars') else 'long'}" for n in names)).coalesce(1)
+    got = [r.ok for r in df.select(line_dedup._close_by_letters().alias("ok")).collect()]
+
+    def want(a, b):
+        x, y = (Counter("other" if c in "0éßя" else c for c in t) for t in (a, b))
+        apart = 0
+        for some in ("abcdefg", "hijklmn", "opqrstu", ["v", "w", "x", "y", "z", " ", "other"]):
+            apart += sum(abs(min(x[c], line_dedup.MANY) - min(y[c], line_dedup.MANY)) for c in some) % 255
+        return apart + abs(len(a) - len(b)) <= 2 * int((1 - line_dedup.SIMILARITY) * max(len(a), len(b)) + 1e-9)
+
+    assert got == [want(*r) for r in rows]
+    similar = [line_dedup.similar(*r) for r in rows]
+    assert all(g for g, s in zip(got, similar, strict=True) if s) and 50 < sum(similar) < sum(got) < len(rows)
+
+
+def test_a_pair_is_made_in_the_first_bucket_by_words(spark):
+    rng = random.Random(33)
+    names = line_dedup._KEYS
+    rows = [(i, rng.getrandbits(2) << 40, *(rng.choice([None, None, 1, 2, -2, -5, 7, 8, 9]) for _ in names)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, sim long, " + ", ".join(f"{c} int" for c in names)).coalesce(1)
+    keys = [*(line_dedup._word_key(i) for i in range(len(names))), *line_dedup._block_keys(F.col("sim"), 5)]
+    x, y = line_dedup._sides(df.select(F.explode(F.array(*keys)).alias("bucket"), "id", *line_dedup._packed(names)).where("bucket is not null"))
+    pairs = x.join(y, "bucket").where((F.col("id_a") < F.col("id_b")) & line_dedup._no_earlier(len(names)))
+    got = {}
+    for r in pairs.select("bucket", "id_a", "id_b").collect():
+        got.setdefault((r.id_a, r.id_b), []).append((r.bucket >> 32) + (1 << 31) if r.bucket < 0 else "sim")
+    for a, b in combinations(rows, 2):
+        shared = [slot for slot in range(len(names)) if a[2 + slot] is not None and a[2 + slot] == b[2 + slot]]
+        found = got.get((a[0], b[0]), [])
+        assert found == shared[:1] if shared else set(found) <= {"sim"} and (a[1] != b[1] or len(found) == 10)
+
+
 def test_unlike_lines_seldom_share_a_key_by_words():
     """Long lines, half of whose words are a dozen frequent ones: few pairs meet, and they grow with few of the lines."""
     rng = random.Random(21)
